@@ -354,19 +354,20 @@ def error_report(spark, sf):
 
 @query
 def char_frequency(spark, sf):
-    docs = S.table(spark, sf, "documents").select("lang", "text")
+    docs = S.texts(spark, sf, "documents", "doc_id").select("lang", "text")
     return vocab.char_frequency(docs, "text", ["lang"])
 
 
 @query
 def char_union(spark, sf):
-    sources = [(S.table(spark, sf, t), "text") for t in ("documents", "conversations", "benchmark")]
+    keys = {"documents": "doc_id", "conversations": "conv_id", "benchmark": "item_id"}
+    sources = [(S.texts(spark, sf, name, key), "text") for name, key in keys.items()]
     return vocab.char_union(sources).select("ch", F.ascii("ch").cast("bigint").alias("code"))
 
 
 def _vocabulary(spark, sf) -> DataFrame:
     return lifecycles.vocabulary(
-        [(S.table(spark, sf, "documents"), "text", True), (S.table(spark, sf, "benchmark"), "text", False)]
+        [(S.texts(spark, sf, "documents", "doc_id"), "text", True), (S.table(spark, sf, "benchmark"), "text", False)]
     )
 
 
@@ -378,14 +379,14 @@ def build_vocab(spark, sf):
 @query
 def encode_chars(spark, sf):
     mapping = vocab.to_mapping(_vocabulary(spark, sf))
-    turns = S.table(spark, sf, "conversations")
+    turns = S.texts(spark, sf, "conversations", "conv_id", "turn")
     return turns.select("conv_id", "turn", _join(vocab.encode("text", mapping)).alias("ids"))
 
 
 @query
 def decode_chars(spark, sf):
     mapping = vocab.to_mapping(_vocabulary(spark, sf))
-    ids = S.table(spark, sf, "conversations").select(
+    ids = S.texts(spark, sf, "conversations", "conv_id", "turn").select(
         "conv_id", "turn", vocab.encode("text", mapping).alias("ids")
     )
     return ids.select("conv_id", "turn", vocab.decode("ids", mapping).alias("text"))
@@ -572,7 +573,7 @@ def assemble_batches(spark, sf):
 @query
 def shift_and_mask(spark, sf):
     codes = F.transform(X.chars("text"), lambda c: F.ascii(c))
-    tokens = S.table(spark, sf, "conversations").select("conv_id", "turn", codes.alias("t"))
+    tokens = S.texts(spark, sf, "conversations", "conv_id", "turn").select("conv_id", "turn", codes.alias("t"))
     masked = A.mask_prompt("t", 32)
     return tokens.select(
         "conv_id", "turn",

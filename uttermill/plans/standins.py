@@ -12,13 +12,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from uttermill.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    """A table whose text is worked on; small ones use all cores."""
+    return spread(table(spark, sf_dir, name), *keys)
+
+
 def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents", "doc_id").select(
         F.col("doc_id").alias("utt_id"),
         F.col("source").alias("corpus"),
         F.col("lang").alias("split"),
@@ -43,14 +50,14 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     length spreads over all tasks.
     """
     turns = table(spark, sf_dir, "conversations")
-    ref = turns.select("conv_id", "turn", "role", F.col("text").alias("ref"))
+    ref = texts(spark, sf_dir, "conversations", "conv_id", "turn").select("conv_id", "turn", "role", F.col("text").alias("ref"))
     pred = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("pred"))
     return ref.join(pred, ["conv_id", "turn"])
 
 
 def spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as utterances with a file id."""
-    return table(spark, sf_dir, "conversations").select(
+    return texts(spark, sf_dir, "conversations", "conv_id", "turn").select(
         F.concat_ws("/", "conv_id", "turn").alias("file_id"),
         "role",
         F.col("text").alias("ref"),

@@ -78,3 +78,14 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     side comes back without a hint and Spark shuffles it.
     """
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a small scan out to all cores; large scans pass through.
+
+    A table of a few megabytes is one or two splits, which leaves most cores
+    idle in work that costs far more than reading.  The split count of a plain
+    scan is known without running it; with a split per core there is no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
