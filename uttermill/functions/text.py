@@ -19,6 +19,11 @@ SENTENCE_MARKS = ",?.!-;:\"%'“”‘�«»"
 # White space as str.strip and str.split see it: the Unicode property plus the
 # four information separators.
 _SPACE = r"[\s\x1C-\x1F]"
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Characters that NFKC never changes and that never combine with each other.
 _NFKC_STABLE = (
@@ -99,7 +104,7 @@ def drop_punctuation_but_apostrophe(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Trim Unicode white space on both ends (plain ``trim`` knows U+0020 only)."""
-    return F.regexp_replace(_col(c), f"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.trim(_col(c), F.lit(SPACES))
 
 
 def stripped_length(c: Column | str) -> Column:
@@ -117,7 +122,9 @@ def nfkc(c: Column | str) -> Column:
         return text.str.normalize("NFKC")
 
     col = _col(c)
-    doubtful = F.when(F.regexp_like(col, F.lit(f"[^{_NFKC_STABLE}]")), col)
+    # As many bytes as characters means ASCII; no need to search that.
+    plain = F.octet_length(col) == F.length(col)
+    doubtful = F.when(~plain & F.regexp_like(col, F.lit(f"[^{_NFKC_STABLE}]")), col)
     return F.coalesce(F.pandas_udf(compose, T.StringType())(doubtful), col)
 
 

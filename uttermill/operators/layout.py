@@ -61,14 +61,12 @@ def interleave(
     """
     chosen = df.where(F.col(source).isin(list(sources)))
     ranked = numbered if numbered is not None else row_index(chosen, order_by, [source], "_turn")
-    counts = ranked.groupBy(source).agg(F.count(F.lit(1)).alias("_n"))
-    # One row, whatever the number of rows; absent sources end everything.
-    shortest = counts.agg(
-        F.when(F.count(F.lit(1)) == len(sources), F.min("_n")).otherwise(F.lit(0)).alias("_limit")
-    )
+    counts = ranked.groupBy(source).agg(F.count(F.lit(1)).alias("n"))
+    # One row per named source reaches the driver.
+    found = [r["n"] for r in counts.collect()]
+    limit = min(found) if len(found) == len(sources) else 0
     place = F.array_position(F.array(*[F.lit(s) for s in sources]), F.col(source)) - 1
-    kept = ranked.join(F.broadcast(shortest), F.col("_turn") < F.col("_limit"))
-    return kept.select(
+    return ranked.where(F.col("_turn") < limit).select(
         *df.columns, (F.col("_turn") * len(sources) + place).cast("bigint").alias("position")
     )
 

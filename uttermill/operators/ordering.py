@@ -73,7 +73,7 @@ def bucket_index(
 ) -> DataFrame:
     """As :func:`row_index`, for an order that has a monotone bucket expression.
 
-    ``bucket`` must not decrease along ``order_by`` (an integer key divided by a
+    ``bucket`` must not be NULL and must not decrease along ``order_by`` (an integer key divided by a
     constant, a prefix of a hash).  No sample and no pinning are needed: the
     buckets are a function of the row.  ``df`` is read twice, the first time for
     its key columns only.
@@ -88,7 +88,8 @@ def bucket_index(
     )
     within = F.row_number().over(W.partitionBy(*by, "_bucket").orderBy(*order_by))
     numbered = tagged.withColumn("_rn", within)
-    on = [F.col("_bucket").eqNullSafe(F.col("_b"))]
+    # Plain equality on the bucket lets the join use the window's partitioning.
+    on = [F.col("_bucket") == F.col("_b")]
     on += [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
     return numbered.join(starts, on).select(
         *df.columns, (F.col("_rn") - 1 + F.col("_shift")).alias(name)
@@ -128,7 +129,7 @@ def seeded_shuffle(
     seed: int = 0,
     epoch: int | None = None,
     name: str = "shuffle_pos",
-    prefix: int = 3,
+    prefix: int = 4,
 ) -> DataFrame:
     """A permutation that depends on seed, epoch and key alone.
 

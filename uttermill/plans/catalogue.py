@@ -9,9 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttermill.functions import arrays as A
-from uttermill.functions import metrics as M
 from uttermill.functions import text as X
-from uttermill.functions.hashing import key_hash
 from uttermill.operators import augment, corpora, evaluation, layout, ordering, pairing, quality, scoring, vocab
 from uttermill.plans import lifecycles
 from uttermill.plans import standins as S
@@ -395,10 +393,8 @@ def decode_chars(spark, sf):
 @query
 def concat_text(spark, sf):
     docs = S.table(spark, sf, "documents").select("doc_id", "text")
-    keys = ordering.bucket_index(
-        docs.select("doc_id"), F.floor(F.col("doc_id") / 100_000), ["doc_id"]
-    )
-    chunks = evaluation.concat_text(docs.join(keys, "doc_id"), "text", "row_idx", 100)
+    numbered = ordering.bucket_index(docs, F.floor(F.col("doc_id") / 10_000), ["doc_id"])
+    chunks = evaluation.concat_text(numbered, "text", "row_idx", 100)
     return chunks.select("chunk", "n_rows", F.md5("text").alias("digest"))
 
 

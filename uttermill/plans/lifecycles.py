@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from uttermill.functions import metrics as M
 from uttermill.functions import text as X
 from uttermill.operators import corpora, evaluation, ordering, pairing, quality, vocab
+from uttermill.session import pin
 
 
 def training_table(
@@ -46,7 +47,11 @@ def pseudo_labels(
     df: DataFrame, preds: DataFrame, label: str, key: str = "file_id", value: str = "transcript",
     written: str = "row_idx", threshold: float = quality.RELABEL_CER, seed: int = 0,
 ) -> DataFrame:
-    """Attach the last prediction per id, drop blanks, relabel, shuffle."""
+    """Attach the last prediction per id, drop blanks, relabel, shuffle.
+
+    The shuffle reads its input twice, so the scored rows are pinned before it
+    and no edit distance is taken a second time.
+    """
     last = pairing.last_write(preds, key, value, written)
     attached = pairing.attach_predictions(df, last, key, value)
     scored = attached.withColumn(
@@ -58,7 +63,7 @@ def pseudo_labels(
         F.col("_near").cast("int").alias("relabelled"),
     )
     usable = chosen.where(quality.char_band(label, 0, quality.MAX_LABEL_CHARS + 1))
-    return ordering.seeded_shuffle(usable, key, seed)
+    return ordering.seeded_shuffle(pin(usable), key, seed)
 
 
 def vocabulary(

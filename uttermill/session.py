@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Whole transcripts travel in these batches; keep one well below a gigabyte.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

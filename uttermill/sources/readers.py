@@ -104,7 +104,7 @@ def scan_predictions(spark: SparkSession, path: str | list[str], skip_first: boo
         "*", F.input_file_name().alias("_file"), F.monotonically_increasing_id().alias("_id")
     )
     first = tagged.groupBy("_file").agg(F.min("_id").alias("_id"))
-    kept = tagged.join(F.broadcast(first), ["_file", "_id"], "left_anti")
+    kept = tagged.join(first, ["_file", "_id"], "left_anti")
     return kept.select("file_id", F.coalesce("transcript", F.lit("")).alias("transcript"))
 
 
