@@ -106,10 +106,11 @@ def relabel(
 
     An empty reference or a missing prediction keeps the label.
     """
-    near = M.within_cer(normalizer(label), normalizer(pred), threshold)
-    return df.withColumn("relabelled", near).withColumn(
-        name, F.when(near, F.col(pred)).otherwise(F.col(label))
-    )
+    # Columns of their own, so that each text is cleaned and compared once.
+    cleaned = df.withColumns({"_ref": normalizer(label), "_pred": normalizer(pred)})
+    scored = cleaned.withColumn("relabelled", M.within_cer("_ref", "_pred", threshold))
+    chosen = F.when(F.col("relabelled"), F.col(pred)).otherwise(F.col(label))
+    return scored.withColumn(name, chosen).drop("_ref", "_pred")
 
 
 def error_report(
@@ -155,7 +156,7 @@ def masked_divergence(
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def distillation_loss(
+def weighted_loss(
     ce_loss: Column | str, divergence_value: Column | str, weight: float = 1.0,
     temperature: float = 2.0,
 ) -> Column:

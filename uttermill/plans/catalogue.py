@@ -423,7 +423,7 @@ def masked_divergence(spark, sf):
     return out.select(
         "n_positions",
         F.round("divergence", 6).alias("divergence"),
-        F.round(evaluation.distillation_loss(F.lit(1.5), "divergence"), 6).alias("loss"),
+        F.round(evaluation.weighted_loss(F.lit(1.5), "divergence"), 6).alias("loss"),
     )
 
 

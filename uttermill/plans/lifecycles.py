@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uttermill.functions import metrics as M
 from uttermill.functions import text as X
 from uttermill.operators import corpora, evaluation, ordering, pairing, quality, vocab
 from uttermill.session import pin
@@ -54,14 +53,8 @@ def pseudo_labels(
     """
     last = pairing.last_write(preds, key, value, written)
     attached = pairing.attach_predictions(df, last, key, value)
-    scored = attached.withColumn(
-        "_near", M.within_cer(X.normalize_basic(label), X.normalize_basic(value), threshold)
-    )
-    chosen = scored.select(
-        *[c for c in df.columns if c != label],
-        F.when(F.col("_near"), F.col(value)).otherwise(F.col(label)).alias(label),
-        F.col("_near").cast("int").alias("relabelled"),
-    )
+    relabelled = evaluation.relabel(attached, label, value, threshold, name=label)
+    chosen = relabelled.select(*df.columns, F.col("relabelled").cast("int").alias("relabelled"))
     usable = chosen.where(quality.char_band(label, 0, quality.MAX_LABEL_CHARS + 1))
     return ordering.seeded_shuffle(pin(usable), key, seed)
 
