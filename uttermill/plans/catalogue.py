@@ -684,12 +684,6 @@ def stream_snapshot(spark, sf):
 # --- files --------------------------------------------------------------------
 
 
-@query
-def list_tables(spark, sf):
-    files = readers.list_files(spark, sf, ["*.parquet", "*.csv"], recursive=True)
-    return files.select(X.basename("path").alias("name"), "length").orderBy("name")
-
-
 @query
 def roundtrip_io(spark, sf):
     """Prediction CSV, text files per row and a cached table, written and read back."""
@@ -707,9 +701,11 @@ def transcript_files(spark, sf):
     base = scratch_path(spark, "texts")
     items = S.table(spark, sf, "benchmark").select("item_id", F.col("text").alias("value"))
     items.write.partitionBy("item_id").text(base)
+    item = F.regexp_extract("path", "item_id=([0-9]+)", 1).cast("bigint").alias("item_id")
+    files = readers.list_files(spark, base, ["*.txt", "*.text"], recursive=True)
     read = readers.read_transcripts(spark, f"{base}/*", "*.txt")
-    item = F.regexp_extract("path", "item_id=([0-9]+)", 1).cast("bigint")
-    return read.select(item.alias("item_id"), F.regexp_replace("text", "\n$", "").alias("text"))
+    texts = read.select(item, F.regexp_replace("text", "\n$", "").alias("text"))
+    return files.select(item, "length").join(texts, "item_id").orderBy("item_id")
 
 
 @query

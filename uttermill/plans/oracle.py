@@ -363,7 +363,7 @@ ORACLE: dict[str, str] = {
         WHERE length({_strip('text')}) > 3""",
     "stream_snapshot": "SELECT event_id::VARCHAR AS file_id, event_type AS transcript FROM events",
     "roundtrip_io": f"SELECT file_id, ref AS transcript, ref AS cached FROM ({_SPOKEN}) s",
-    "transcript_files": "SELECT item_id, text FROM benchmark",
+    "transcript_files": "SELECT item_id, strlen(text) + 1 AS length, text FROM benchmark",
     "vocab_file": f"WITH {_VOCAB} SELECT ch, CAST(id AS BIGINT) AS id FROM vocab",
     "report_files": f"""
         WITH r AS (SELECT * FROM ({_REPORT.replace('FROM (', 'FROM (SELECT * FROM (', 1)} WHERE model = 1) q) z
