@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uttermill.functions import arrays as A
-from uttermill.functions.hashing import hash_gauss, hash_uniform
+from uttermill.functions.hashing import hash_normals, hash_uniform
 
 # Widths, amplitudes and probabilities of the augmentation recipe.
 MAX_BAND = 25
@@ -88,12 +88,10 @@ def add_noise(
     low, high = NOISE_RANGE
     amp = low + hash_uniform(seed, F.col(key), F.col(replica), "amp") * (high - low)
     out = df.withColumn("noise_amp", F.when(hit, amp))
-    noisy = F.transform(
-        samples,
-        lambda v, i: (
-            v + F.col("noise_amp") * hash_gauss(seed, F.col(key), F.col(replica), i)
-        ).cast("float"),
-    )
+    normals = hash_normals(F.size(samples), seed, F.col(key), F.col(replica))
+    amplitudes = F.array_repeat("noise_amp", F.size(samples))
+    steps = F.zip_with(normals, amplitudes, lambda z, a: z * a)
+    noisy = F.zip_with(samples, steps, lambda v, e: (v + e).cast("float"))
     return out.withColumn(
         samples, F.when(F.col("noise_amp").isNotNull(), noisy).otherwise(F.col(samples))
     )

@@ -12,6 +12,17 @@ from uttermill.functions import text as X
 from uttermill.functions.arrays import percent
 
 
+def with_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are worked out once per row, however often they are read.
+
+    Catalyst merges a projection that holds a Python function into the next one
+    and copies its expressions to every place of use.  It does not merge
+    through a generator, here one of a single row.
+    """
+    packed = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(packed)))
+
+
 def corpus_totals(df: DataFrame, by: Sequence[str] = ("corpus",), seconds: str = "input_length") -> DataFrame:
     """Rows kept and seconds of audio."""
     return df.groupBy(*by).agg(
@@ -65,9 +76,7 @@ def raw_and_normalized_cer(
     The raw rate covers all rows with a reference; the normalised one those
     whose reference is non-empty after cleaning.
     """
-    both = df.select(
-        *by, ref, pred, normalizer(ref).alias("_nref"), normalizer(pred).alias("_npred")
-    )
+    both = with_once(df.select(*by, ref, pred), _nref=normalizer(ref), _npred=normalizer(pred))
     scored = with_edits(with_edits(both, ref, pred, "raw_"), "_nref", "_npred", "norm_")
     aggs = [
         F.count(F.lit(1)).alias("n_rows"),
@@ -85,9 +94,8 @@ def model_comparison(
     seconds: str = "seconds", gen: str = "gen_time", normalizer=X.normalize,
 ) -> DataFrame:
     """Error rate and real-time factor per model and split."""
-    cleaned = df.select(
-        *by, seconds, gen, normalizer(ref).alias("_ref"), normalizer(pred).alias("_pred")
-    )
+    used = df.select(*by, seconds, gen, ref, pred)
+    cleaned = with_once(used, _ref=normalizer(ref), _pred=normalizer(pred))
     scored = with_edits(cleaned, "_ref", "_pred")
     return scored.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_samples"),
@@ -106,8 +114,7 @@ def relabel(
 
     An empty reference or a missing prediction keeps the label.
     """
-    # Columns of their own, so that each text is cleaned and compared once.
-    cleaned = df.withColumns({"_ref": normalizer(label), "_pred": normalizer(pred)})
+    cleaned = with_once(df, _ref=normalizer(label), _pred=normalizer(pred))
     scored = cleaned.withColumn("relabelled", M.within_cer("_ref", "_pred", threshold))
     chosen = F.when(F.col("relabelled"), F.col(pred)).otherwise(F.col(label))
     return scored.withColumn(name, chosen).drop("_ref", "_pred")
@@ -117,13 +124,9 @@ def error_report(
     df: DataFrame, key: str, ref: str, pred: str, normalizer=X.normalize, errors_only: bool = False
 ) -> DataFrame:
     """Target and prediction, raw and normalised, for rows with a usable reference."""
-    rows = df.select(
-        key,
-        F.col(ref).alias("target"),
-        F.col(pred).alias("pred"),
-        normalizer(ref).alias("norm_target"),
-        normalizer(pred).alias("norm_pred"),
-    ).where(F.length("norm_target") > 0)
+    named = df.select(key, F.col(ref).alias("target"), F.col(pred).alias("pred"))
+    cleaned = with_once(named, norm_target=normalizer("target"), norm_pred=normalizer("pred"))
+    rows = cleaned.where(F.length("norm_target") > 0)
     return rows.where(F.col("norm_target") != F.col("norm_pred")) if errors_only else rows
 
 

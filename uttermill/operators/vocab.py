@@ -76,7 +76,7 @@ def build_vocab(freq: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
 
 def to_mapping(vocab: DataFrame) -> dict[str, int]:
     """The vocabulary on the driver; one entry per code point at most."""
-    return {r["ch"]: r["id"] for r in vocab.select("ch", "id").toLocalIterator()}
+    return {r["ch"]: r["id"] for r in vocab.select("ch", "id").collect()}
 
 
 def encode(text: Column | str, mapping: Mapping[str, int]) -> Column:

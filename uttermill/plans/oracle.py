@@ -157,9 +157,10 @@ _NOISE = f"""
         THEN 0.001 + {_draw('amp')} * (0.015 - 0.001) END AS noise_amp FROM r),
     e AS (SELECT utt_id, replica, noise_amp, unnest(embedding) AS x,
         generate_subscripts(embedding, 1) - 1 AS i FROM d),
-    g AS (SELECT *, '0:' || utt_id || ':' || replica || ':' || i AS k FROM e),
-    n AS (SELECT *, sqrt(-2.0 * ln((CAST(('0x' || substr(md5(k || ':u'), 1, 8)) AS BIGINT) + 1) / 4294967297.0::DOUBLE))
-        * cos(6.283185307179586 * (CAST(('0x' || substr(md5(k || ':v'), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE)) AS z FROM g)
+    g AS (SELECT *, md5('0:' || utt_id || ':' || replica || ':' || (i // 4)) AS h, (i % 4) // 2 * 16 AS o FROM e),
+    b AS (SELECT *, CAST('0x' || substr(h, 1 + o, 8) AS BIGINT) AS u, CAST('0x' || substr(h, 9 + o, 8) AS BIGINT) AS v FROM g),
+    c AS (SELECT *, sqrt(-2.0 * ln((u + 1) / 4294967297.0::DOUBLE)) AS r, 6.283185307179586 * (v / 4294967296.0::DOUBLE) AS w FROM b),
+    n AS (SELECT *, r * CASE WHEN i % 2 = 0 THEN cos(w) ELSE sin(w) END AS z FROM c)
     SELECT utt_id, replica, round(any_value(noise_amp), 8) AS noise_amp,
         round(sum(coalesce((x + noise_amp * z)::FLOAT, x)::DOUBLE), 3) AS total
     FROM n GROUP BY utt_id, replica"""
