@@ -80,6 +80,14 @@ def test_shuffle_is_a_stable_permutation(spark):
     assert ordering.skip_batches(ordering.seeded_shuffle(df, "id", 3), "shuffle_pos", 64, 3).count() == 777 - 192
 
 
+def test_replicas_of_a_hot_key_shuffle_apart(spark):
+    hot = corpora.replicate(spark.range(3), 500)
+    out = ordering.seeded_shuffle(hot, ["id", "replica"], prefix=1)
+    assert sorted(r["shuffle_pos"] for r in out.collect()) == list(range(1500))
+    first = out.where("shuffle_pos < 300").groupBy("id").count().collect()
+    assert all(r["count"] > 60 for r in first)
+
+
 def test_interleave_stops_at_the_shortest(spark):
     rows = [("a", i) for i in range(5)] + [("b", i) for i in range(2)] + [("c", i) for i in range(9)]
     df = spark.createDataFrame(rows, "s string, k int")

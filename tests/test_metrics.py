@@ -40,6 +40,12 @@ def test_word_boundaries(n):
     assert distances(left, right).tolist() == [table(a, b) for a, b in zip(left, right, strict=True)]
 
 
+def test_short_patterns_with_one_very_long_text():
+    left = ["abc"] * 300 + ["abd"]
+    right = ["acb"] * 300 + ["x" * 200_000 + "bd"]
+    assert distances(left, right, cells=1 << 12).tolist() == [2] * 300 + [200_000]
+
+
 def _pairs(spark):
     rng = random.Random(0)
     rows = [("", "abc"), ("abc", ""), (None, "a"), ("a", None), ("same", "same"), ("", "")]

@@ -86,7 +86,7 @@ def distances(left: list[str], right: list[str], cells: int = 1 << 22) -> np.nda
     """Levenshtein distance of every pair, as int64.
 
     Pairs of like pattern length advance together; ``cells`` bounds the mask
-    table of one group.
+    table and the padded texts of one group.
     """
     size = np.array([(len(a), len(b)) for a, b in zip(left, right, strict=True)]).reshape(-1, 2)
     out = size.max(axis=1).astype(np.int64)
@@ -100,7 +100,8 @@ def distances(left: list[str], right: list[str], cells: int = 1 << 22) -> np.nda
         wide = words[order[start:]]
         lanes = np.arange(1, len(wide) + 1)
         fits = (wide * slots * lanes <= cells) & ((wide * lanes <= 4096) | (wide == wide[0]))
-        fits &= lanes <= 4096
+        longest = np.maximum.accumulate(size[order[start:], 1])
+        fits &= (lanes <= 4096) & (longest * lanes <= cells)
         fits[0] = True
         stop = start + (len(fits) if fits.all() else int(fits.argmin()))
         group = order[start:stop]

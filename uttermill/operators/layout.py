@@ -52,15 +52,14 @@ def assign_shards(
 
 
 def interleave(
-    df: DataFrame, source: str, sources: Sequence[str], order_by: Sequence[str | Column],
-    numbered: DataFrame | None = None,
+    df: DataFrame, source: str, sources: Sequence[str], order_by: Sequence[str | Column]
 ) -> DataFrame:
     """Round-robin over ``sources`` until the shortest one ends.
 
     ``position`` is the place in the interleaved order.
     """
     chosen = df.where(F.col(source).isin(list(sources)))
-    ranked = numbered if numbered is not None else row_index(chosen, order_by, [source], "_turn")
+    ranked = row_index(chosen, order_by, [source], "_turn")
     counts = ranked.groupBy(source).agg(F.count(F.lit(1)).alias("n"))
     # One row per named source reaches the driver.
     found = [r["n"] for r in counts.collect()]
@@ -116,8 +115,8 @@ def retain_newest(
     """Mark the ``keep`` newest rows per group; the others are to be deleted.
 
     The ranking alone would sort a hot group in one task.  A rank filter is
-    pushed below the shuffle (at most ``keep`` rows per group and task leave a
-    task), and the oldest kept row then decides about all others.
+    pushed below the shuffle for ``keep`` up to 1000 (at most ``keep`` rows per
+    group leave a task), and the oldest kept row then decides about all others.
     """
     order = [F.desc(step), F.desc(tiebreak)]
     top = (

@@ -125,7 +125,7 @@ def running_total(
 
 def seeded_shuffle(
     df: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     seed: int = 0,
     epoch: int | None = None,
     name: str = "shuffle_pos",
@@ -134,11 +134,13 @@ def seeded_shuffle(
     """A permutation that depends on seed, epoch and key alone.
 
     The position is the rank of a hash.  Rows sharing the first ``prefix`` hex
-    digits form a bucket; hashing fills all 16**prefix buckets evenly.
+    digits form a bucket; hashing fills all 16**prefix buckets evenly.  ``key``
+    must be unique; replicated rows take the replica number into it.
     """
     parts = [seed] if epoch is None else [seed, epoch]
-    hashed = df.withColumn("_h", key_hash(*parts, F.col(key)))
-    out = bucket_index(hashed, F.substring("_h", 1, prefix), ["_h", key], name=name)
+    keys = [key] if isinstance(key, str) else list(key)
+    hashed = df.withColumn("_h", key_hash(*parts, *[F.col(k) for k in keys]))
+    out = bucket_index(hashed, F.substring("_h", 1, prefix), ["_h", *keys], name=name)
     return out.drop("_h")
 
 
