@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from uttermill.llm import exact_dedup, mixing, packing, toxicity, url_filter
+from uttermill.llm import exact_dedup, minhash, mixing, packing, substrings, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,3 +60,14 @@ def op3_packing(spark, sf):
 @query
 def op10_toxicity(spark, sf):
     return toxicity.toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+@query
+def op1_minhash(spark, sf):
+    return minhash.near_groups(_table(spark, sf, "documents"))
+
+
+@query
+def op6_substrings(spark, sf):
+    out = substrings.remove_repeats(_table(spark, sf, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
