@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uttermill.llm import exact_dedup, minhash, mixing, packing, substrings, toxicity, url_filter
+from uttermill.llm import class_model, exact_dedup, minhash, mixing, packing, substrings, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,3 +71,8 @@ def op1_minhash(spark, sf):
 def op6_substrings(spark, sf):
     out = substrings.remove_repeats(_table(spark, sf, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op7_class_model(spark, sf):
+    return class_model.class_scores(_table(spark, sf, "documents"))

@@ -19,7 +19,7 @@ BUCKET = 250_000
 #: A minimiser candidate is heavy from this share of all on; so at most 50,000 are.
 HEAVY = 1 / 50_000
 #: Bytes of packed strings that a task gathers before it sends them.
-FLUSH = 24 << 20
+FLUSH = 16 << 20
 _LAST = np.iinfo(np.int64).max
 
 
@@ -117,13 +117,13 @@ def _pack_windows(buckets: int, heavy: np.ndarray):
                 source = np.repeat(first - tidy[:-1], length + 1) + np.arange(tidy[-1])
                 text = np.append(body, np.uint8(32))[source]
                 text[tidy[1:] - 1] = 32
-                a, b = tidy[at[head]], tidy[at[head] + run_n + WINDOW - 1]
-                ends = np.concatenate([[0], np.cumsum(b - a)])
-                packed = text[np.repeat(a - ends[:-1], b - a) + np.arange(ends[-1])]
+                a, size_of = tidy[at[head]], tidy[at[head] + run_n + WINDOW - 1] - tidy[at[head]]
+                ends = np.concatenate([[0], np.cumsum(size_of)])
+                packed = text[np.repeat(a - ends[:-1], size_of) + np.arange(ends[-1])]
                 cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.array([0])
                 for i, j in zip(cuts[:-1], cuts[1:], strict=True):
                     held.setdefault(int(bucket[i]), []).append(
-                        (doc[head[i:j]], start[head[i:j]], (b - a)[i:j], packed[ends[i] : ends[j]])
+                        (doc[head[i:j]], start[head[i:j]], size_of[i:j], packed[ends[i] : ends[j]])
                     )
                 size += len(packed)
                 if size > FLUSH:
