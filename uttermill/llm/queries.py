@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uttermill.llm import class_model, exact_dedup, minhash, mixing, packing, substrings, toxicity, url_filter
+from uttermill.llm import (
+    class_model, exact_dedup, minhash, mixing, packing, substrings, toxicity, url_filter, vector_graph,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,3 +78,8 @@ def op6_substrings(spark, sf):
 @query
 def op7_class_model(spark, sf):
     return class_model.class_scores(_table(spark, sf, "documents"))
+
+
+@query
+def op4_vector_graph(spark, sf):
+    return vector_graph.near_vectors(_table(spark, sf, "embeddings"))
