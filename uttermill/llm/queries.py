@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttermill.llm import (
-    class_model, exact_dedup, minhash, mixing, packing, substrings, toxicity, url_filter, vector_graph,
+    class_model, exact_dedup, minhash, mixing, packing, pii, substrings, toxicity, url_filter, vector_graph,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,9 @@ def op7_class_model(spark, sf):
 @query
 def op4_vector_graph(spark, sf):
     return vector_graph.near_vectors(_table(spark, sf, "embeddings"))
+
+
+@query
+def op9_personal_data(spark, sf):
+    out = pii.personal_data(_table(spark, sf, "documents"))
+    return out.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
