@@ -62,21 +62,22 @@ def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _entries(reps: DataFrame) -> DataFrame:
-    """(value, rep, n): inverted lists over the rarest retained values of each sketch.
+    """(value, rep, n, core): inverted lists over the rarest retained values of each sketch.
 
     Two similar sets share at least c of their s retained values, so they share one of
     the s - c + 1 that come first in any common order.  In the order of document
     frequency these are the rare ones: what a third of all documents hold makes a
-    list only for documents that hold little else.
+    list only for documents that hold little else.  ``core`` is high for what is most
+    like its group.
     """
     size = F.size("sketch")
     values = reps.select("rep", "n", size.alias("s"), F.explode("sketch").alias("value"))
     shared = staged(values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
     held = values.join(shared, "value")
     own = W.partitionBy("rep")
-    held = held.withColumn("_at", F.row_number().over(own.orderBy("df", "value"))).withColumn("_of", F.count(F.lit(1)).over(own))
+    held = held.withColumn("_at", F.row_number().over(own.orderBy("df", "value"))).withColumn("_of", F.count(F.lit(1)).over(own)).withColumn("core", F.sum("df").over(own))
     needed = F.when(F.col("s") <= WHOLE, F.ceil(F.col("s") * NEAR / 100.0)).otherwise(LEAST)
-    return held.where(F.col("s") - F.col("_of") + F.col("_at") <= F.col("s") - needed + 1).select("value", "rep", "n")
+    return held.where(F.col("s") - F.col("_of") + F.col("_at") <= F.col("s") - needed + 1).select("value", "rep", "n", "core")
 
 
 def _sized(a: str, b: str) -> Column:
@@ -84,27 +85,46 @@ def _sized(a: str, b: str) -> Column:
 
 
 def _stars(lists: DataFrame, turn: int) -> DataFrame:
-    """Each list's members paired with one of them, drawn by a hash."""
-    centre = lists.groupBy("value").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "rep").alias("_h"), "rep", "n", "component")).alias("_c"))
+    """Each list's members paired with one of them: first the most central, later one drawn by a hash."""
+    first = F.col("core") if turn == 0 else F.lit(0)
+    centre = lists.groupBy("value").agg(F.max(F.struct(first.alias("_f"), F.xxhash64(F.lit(turn), "rep").alias("_h"), "rep", "n", "component")).alias("_c"))
     centre = staged(centre.select("value", F.col("_c.rep").alias("a"), F.col("_c.n").alias("m"), F.col("_c.component").alias("_ac")), "centres")
     met = lists.join(centre, "value").where((F.col("component") != F.col("_ac")) & _sized("n", "m"))
     return met.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
 
 
-def _rest(lists: DataFrame) -> DataFrame:
-    """All pairs of list members that are in different components.
-
-    The members outside a list's largest component meet the whole list; a list
-    that is one component makes no pair.
-    """
+def _mixed(lists: DataFrame) -> DataFrame:
+    """Lists with members of several components; ``_main`` is the largest of them."""
     sizes = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("_n"))
     main = sizes.groupBy("value").agg(F.max(F.struct("_n", "component")).alias("_m"), F.count(F.lit(1)).alias("_k"))
     main = staged(main.where("_k > 1").select("value", F.col("_m.component").alias("_main")), "mixed-lists")
-    tagged = staged(lists.join(main, "value"), "mixed-members")
-    minor = tagged.where("component <> _main").select("value", F.col("rep").alias("a"), F.col("n").alias("m"), F.col("component").alias("_ac"))
-    right = tagged.select("value", F.col("rep").alias("b"), "n", "component", (F.col("component") == F.col("_main")).alias("_is_main"))
-    on = (F.col("_ac") != F.col("component")) & (F.col("_is_main") | (F.col("a") < F.col("b"))) & _sized("m", "n")
-    met = minor.join(right.withColumnRenamed("value", "_v"), (F.col("value") == F.col("_v")) & on)
+    return staged(lists.join(main, "value"), "mixed-members")
+
+
+def _rest(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs between different components that share a list and can still be similar.
+
+    Members of lists that are not one component are indexed by their full sets,
+    rarest shingle first.  Sets of sizes m and n are similar only if they share
+    75 / 175 of m + n; so their first common shingle is among the first quarter of
+    both, and what follows it must be enough.  A copy with many changes of its own
+    has these first and meets no one, however large its group is.  Members outside
+    a list's largest component meet the whole list.
+    """
+    open_ends = staged(_mixed(lists).select("rep", "component").distinct(), "open")
+    members = sets.join(open_ends, "rep").select("rep", "n", "component", F.explode("members").alias("value"))
+    shared = staged(members.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-members")
+    own = W.partitionBy("rep")
+    held = members.join(shared, "value").withColumn("_at", F.row_number().over(own.orderBy("df", "value"))).withColumn("_of", F.count(F.lit(1)).over(own))
+    held = held.withColumn("left", F.col("_of") - F.col("_at") + 1).where(F.col("left") * 100 >= F.col("n") * NEAR)
+    tagged = _mixed(staged(held.select("value", "rep", "n", "component", "left"), "member-lists"))
+    minor = tagged.where("component <> _main").select(
+        F.col("value").alias("_v"), F.col("rep").alias("a"), F.col("n").alias("m"), F.col("component").alias("_ac"), F.col("left").alias("_al")
+    )
+    right = tagged.select("value", F.col("rep").alias("b"), "n", "component", "left", (F.col("component") == F.col("_main")).alias("_is_main"))
+    enough = F.least("_al", "left") * (100 + NEAR) >= (F.col("m") + F.col("n")) * NEAR
+    on = (F.col("_ac") != F.col("component")) & (F.col("_is_main") | (F.col("a") < F.col("b"))) & _sized("m", "n") & enough
+    met = minor.join(right, (F.col("_v") == F.col("value")) & on)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -144,7 +164,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     estimates the similarity and drops pairs far from it, and the full sets decide.
     A list meets one of its members in two rounds, after which the dense groups are
     one component each; then all pairs of a list between different components
-    follow, so no link that could join two components is left out.
+    that can be similar follow, so no link that could join two components is left out.
 
     Keys are compared as they are; a null key is a row of its own that is not linked,
     with a null component.  Rows that repeat a key and text are one document.
@@ -168,8 +188,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         if labels is None:
             lists = entries.withColumn("component", F.col("rep"))
         else:
-            lists = entries.join(labels, F.col("rep") == F.col("node"), "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        pairs = staged(_stars(lists, turn) if turn < ROUNDS else _rest(lists), "pairs")
+            lists = entries.join(labels, F.col("rep") == F.col("node"), "left").select("value", "rep", "n", "core", F.coalesce("component", "rep").alias("component"))
+        pairs = staged(_stars(lists, turn) if turn < ROUNDS else _rest(lists, sets), "pairs")
         found = staged(_verified(pairs, reps, sets), "links")
         links = found if links is None else links.union(found)
         labels = staged(connected(links), "labels")

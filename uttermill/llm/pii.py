@@ -252,7 +252,7 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", samp
     own = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     some = own.where(F.regexp_like("_text", F.lit("[0-9@]"))).select("_key", F.xxhash64(F.lit(9), "_key").alias("_rank"))
     chosen = some.orderBy("_rank", "_key").limit(sample)
-    picked = own.join(chosen.withColumnRenamed("_key", "_k"), F.col("_key") == F.col("_k"))
+    picked = own.join(F.broadcast(chosen.withColumnRenamed("_key", "_k")), F.col("_key") == F.col("_k"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted(r for b in batches for r in zip(b.column("_rank").to_pylist(), b.column("_text").to_pylist(), strict=True))

@@ -73,15 +73,19 @@ class Ftrl:
         self.n[slots] += g * g
 
 
-def train(rows: DataFrame, text: str, label: str, order: str, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
+def train(docs: DataFrame, marked: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
     """(slots, weights, intercept) learnt from at most ``sample`` rows of each class.
 
-    The rows are the first of each class in the order of a hash, so the choice
-    does not depend on partitioning.  The bounded sample is learnt in one task and
-    only weights that L1 leaves non-zero reach the driver.
+    ``docs`` has (_key, _text), ``marked`` (_label_key, _label).  The rows are the
+    first of each class in the order of a hash of the key, so the choice does not
+    depend on partitioning.  Keys are chosen without texts; the chosen ones (at most
+    twice ``sample``) are broadcast to fetch theirs.  The bounded sample is learnt in one
+    task and only weights that L1 leaves non-zero reach the driver.
     """
-    keyed = rows.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.xxhash64(F.lit(3), order).alias("rank"))
-    chosen = keyed.where("label = 0").orderBy("rank").limit(sample).union(keyed.where("label = 1").orderBy("rank").limit(sample))
+    keyed = marked.select("_label_key", F.col("_label").cast("int").alias("label"), F.xxhash64(F.lit(3), "_label_key").alias("rank"))
+    some = [keyed.where(F.col("label") == y).orderBy("rank", "_label_key").limit(sample) for y in (0, 1)]
+    chosen = docs.join(F.broadcast(some[0].union(some[1])), F.col("_key") == F.col("_label_key"))
+    chosen = chosen.select(F.col("_text").alias("text"), "label", "rank")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, labels, ranks = [], [], []
@@ -122,10 +126,10 @@ def toxicity(
     """
     slot = F.pmod(F.crc32(F.coalesce(F.col("_key").cast("string"), F.lit("")).cast("binary")), F.lit(3))
     marked = labels.select(F.col(key).alias("_label_key"), F.col(label).alias("_label")).where("_label is not null and _label_key is not null")
+    marked = marked.where(F.pmod(F.crc32(F.col("_label_key").cast("string").cast("binary")), F.lit(3)) != 1)
+    marked = marked.groupBy("_label_key").agg(F.max("_label").alias("_label"))
     own = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    known = own.join(marked.groupBy("_label_key").agg(F.max("_label").alias("_label")), F.col("_key") == F.col("_label_key"))
-    known = known.where(F.pmod(F.crc32(F.col("_key").cast("string").cast("binary")), F.lit(3)) != 1)
-    slots, weights, bias = train(known, "_text", "_label", "_key", sample)
+    slots, weights, bias = train(own, marked, sample)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = np.zeros(1 << BITS)
