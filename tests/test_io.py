@@ -77,8 +77,9 @@ def test_text_chunks_concatenate(spark, tmp_path):
     chunks = evaluation.concat_text(ordering.row_index(df, ["id"]), "text", "row_idx", 4)
     writers.append_text(chunks, str(tmp_path / "blob"))
     writers.append_text(chunks, str(tmp_path / "blob"))
-    lines = [r[0] for r in spark.read.text(str(tmp_path / "blob")).collect()]
-    assert sorted(lines) == sorted(["t0t1t2t3", "t4t5t6t7", "t8t9"] * 2)
+    parts = readers.load(spark, str(tmp_path / "blob")).orderBy("call", "chunk").collect()
+    assert [r["text"] for r in parts] == ["t0t1t2t3", "t4t5t6t7", "t8t9"] * 2
+    assert [r["call"] for r in parts] == [1, 1, 1, 2, 2, 2]
 
 
 def test_report_files(spark, tmp_path):

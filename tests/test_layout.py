@@ -190,9 +190,9 @@ def test_filters_and_funnel(spark):
 
 
 def test_media_header(spark):
-    rows = [(bytearray(b"RIFFxxxx"),), (bytearray(b"fLaC"),), (bytearray(b"PAR1"),), (bytearray(b""),), (None,)]
+    rows = [(bytearray(b),) for b in (b"RIFFxxxxWAVE", b"fLaC", b"PAR1", b"", b"RIFFxxxxWEBP", b"\xff\xfa\x90", b"\0\0\0\x20ftypM4A ")] + [(None,)]
     df = spark.createDataFrame(rows, "content binary")
-    assert [r[0] for r in df.select(quality.readable_media("content")).collect()] == [True, True, False, False, False]
+    assert [r[0] for r in df.select(quality.readable_media("content")).collect()] == [True, True, False, False, False, True, True, False]
 
 
 def test_replication_and_masks(spark):
@@ -259,3 +259,27 @@ def test_scorer(spark):
     with pytest.raises(ValueError, match="either predict or load"):
         scoring.score(df, "file_id", ["t"])
     assert X.normalize("t") is not None
+
+
+def test_null_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(None if i % 2 else "a", i) for i in range(10)], "g string, step long")
+    kept = layout.retain_newest(df, "g", "step", 2, "step").collect()
+    assert len(kept) == 10 and sorted(r["step"] for r in kept if r["kept"]) == [6, 7, 8, 9]
+    rows = ordering.row_index(df, ["step"], by=["g"])
+    assert layout.assign_shards(rows, 3, by=["g"]).count() == 10
+
+
+def test_strict_pairs_fail_whatever_is_read(spark):
+    audio = spark.createDataFrame([("a.wav",), ("b.wav",)], "path string")
+    texts = spark.createDataFrame([("a.txt", "x")], "path string, text string")
+    out = pairing.pair_strict(audio, texts, [(".wav", ".txt")])
+    for read in (out, out.select("path")):
+        with pytest.raises(Exception, match="no transcript for b.wav"):
+            read.count()
+
+
+def test_weighted_mix_has_the_shares(spark):
+    df = spark.range(1000).select(F.col("id"), F.when(F.col("id") < 100, "s").otherwise("l").alias("corpus"))
+    got = {r[0]: r[1] for r in corpora.mix_weighted(df, {"s": 0.5, "l": 0.5}, "id").groupBy("corpus").count().collect()}
+    assert got == {"s": 100, "l": 100}
+    assert corpora.parse_specs("a+b", "x+y", samples="0.3+0.7")[1].samples == 0.7

@@ -131,3 +131,11 @@ def softmax(c: Column | str) -> Column:
 def percent(c: Column) -> Column:
     """A ratio as percent with two decimals (half up)."""
     return F.round(100 * c, 2)
+
+
+def log_softmax(c: Column | str, temperature: float = 1.0) -> Column:
+    """``x - max - ln(sum(exp(x - max)))`` of the values over the temperature: nothing underflows to ln(0)."""
+    scaled = F.transform(_col(c), lambda x: x.cast("double") / temperature)
+    shifted = F.zip_with(scaled, F.array_repeat(F.array_max(scaled), F.size(scaled)), lambda x, t: x - t)
+    total = F.ln(F.aggregate(shifted, F.lit(0.0), lambda a, x: a + F.exp(x)))
+    return F.zip_with(shifted, F.array_repeat(total, F.size(shifted)), lambda x, t: x - t)

@@ -13,8 +13,8 @@ ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # U+3002, U+3005 to U+3007, U+3010, U+3011, U+FF01, U+FF0C, U+FF1A, U+FF1F, U+FFE4, U+FFE9
 CJK_PUNCTUATION = "。々〆〇【】！，：？￤￩"
 EXTRA_MARKS = "、：；？！"
-# , ? . ! - ; : " % ' then U+201C, U+201D, U+2018, U+FFFD, U+00AB, U+00BB
-SENTENCE_MARKS = ",?.!-;:\"%'“”‘�«»"
+# , ? . ! - ; : " U+201C % U+2018 U+201D U+FFFD ' U+00BB U+00AB
+SENTENCE_MARKS = ",?.!-;:\"“%‘”�'»«"
 
 # White space as str.strip and str.split see it: the Unicode property plus the
 # four information separators.
@@ -150,10 +150,10 @@ def chars(c: Column | str) -> Column:
 
 
 def parse_id_list(c: Column | str) -> Column:
-    """``"[1, 23]"`` to an int array; NULL when the text is no bracketed list."""
+    """``"[1, 23]"`` to a bigint array (NULL for a number beyond it); NULL when the text is no bracketed list."""
     col = _col(c)
     ids = F.transform(
-        F.regexp_extract_all(col, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.cast("int")
+        F.regexp_extract_all(col, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.try_cast("bigint")
     )
     return F.when(col.startswith("[") & col.endswith("]"), ids)
 

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uttermill.functions.hashing import hash_uniform
+from uttermill.functions.hashing import hash_uniform, key_hash
+from uttermill.operators.ordering import row_index
 from uttermill.sources.readers import load_corpus
 
 # How often each builder repeats its training split.
@@ -23,7 +24,7 @@ class CorpusSpec:
     config: str
     split: str
     text_col: str
-    samples: int | None = None
+    samples: float | None = None
 
 
 def parse_specs(
@@ -49,7 +50,7 @@ def parse_specs(
         aligned("sample counts", samples, None),
         strict=True,
     )
-    return [CorpusSpec(n, c, s, t, int(k) if k else None) for n, c, s, t, k in rows]
+    return [CorpusSpec(n, c, s, t, float(k) if k else None) for n, c, s, t, k in rows]
 
 
 def concat(frames: Sequence[DataFrame]) -> DataFrame:
@@ -94,9 +95,26 @@ def mix(
     return df.where(F.col(corpus).isin(list(fractions)) & drawn)
 
 
-def cap_samples(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """At most ``n`` rows, the first in a stated order."""
-    return df.orderBy(*order_by).limit(n)
+def mix_weighted(
+    df: DataFrame, weights: Mapping[str, float], key: str, corpus: str = "corpus", seed: int = 0
+) -> DataFrame:
+    """Rows of the named corpora in the proportions of ``weights``, whatever their sizes.
+
+    The mix is as large as the corpus that runs out first allows: with T that size,
+    a corpus gives its first floor(T * share) rows in the order of a hash.  Ranks come
+    from :func:`row_index`, so no corpus is ordered in one task.
+    """
+    total = float(sum(weights.values()))
+    share = F.lit(None).cast("double")
+    for name, w in weights.items():
+        share = F.when(F.col(corpus) == name, F.lit(w / total)).otherwise(share)
+    keys = df.where(F.col(corpus).isin(list(weights))).select(corpus, key, key_hash(seed, F.col(key)).alias("_h"))
+    ranked = row_index(keys, ["_h", key], [corpus], "_rank")
+    # One row per named corpus reaches the driver.
+    sizes = {r[0]: r[1] for r in ranked.groupBy(corpus).count().collect()}
+    size = min(int(sizes.get(c, 0) / (w / total) + 1e-9) for c, w in weights.items() if w > 0)
+    taken = ranked.where(F.col("_rank") < F.floor(F.lit(size) * share + 1e-9)).select(F.col(key).alias("_key"))
+    return df.join(taken, F.col(key) == F.col("_key"), "left_semi")
 
 
 def replicate(df: DataFrame, k: int, name: str = "replica") -> DataFrame:

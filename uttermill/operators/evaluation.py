@@ -121,10 +121,11 @@ def relabel(
 
 
 def error_report(
-    df: DataFrame, key: str, ref: str, pred: str, normalizer=X.normalize, errors_only: bool = False
+    df: DataFrame, key: str | Sequence[str], ref: str, pred: str, normalizer=X.normalize, errors_only: bool = False
 ) -> DataFrame:
     """Target and prediction, raw and normalised, for rows with a usable reference."""
-    named = df.select(key, F.col(ref).alias("target"), F.col(pred).alias("pred"))
+    keys = [key] if isinstance(key, str) else list(key)
+    named = df.select(*keys, F.col(ref).alias("target"), F.col(pred).alias("pred"))
     cleaned = with_once(named, norm_target=normalizer("target"), norm_pred=normalizer("pred"))
     rows = cleaned.where(F.length("norm_target") > 0)
     return rows.where(F.col("norm_target") != F.col("norm_pred")) if errors_only else rows
@@ -139,9 +140,13 @@ def mean_of_batches(df: DataFrame, batch: str, values: Sequence[str]) -> DataFra
 
 
 def divergence(target: Column | str, log_pred: Column | str) -> Column:
-    """Sum over one position of ``p * (log p - log q)``; zero mass counts zero."""
+    """Sum over one position of ``p * (log p - log q)``; zero mass counts zero.
+
+    A probability q of 0 (its logarithm is NULL or minus infinity) makes the sum infinite.
+    """
     terms = F.zip_with(
-        target, log_pred, lambda p, lq: F.when(p > 0, p * (F.ln(p) - lq)).otherwise(F.lit(0.0))
+        target, log_pred,
+        lambda p, lq: F.when(p > 0, p * (F.ln(p) - F.coalesce(lq, F.lit(float("-inf"))))).otherwise(F.lit(0.0)),
     )
     return F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
 
@@ -150,7 +155,7 @@ def masked_divergence(
     df: DataFrame, target: str, log_pred: str, label: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """Divergence summed over labelled positions, per labelled position."""
-    kept = F.col(label) >= 0
+    kept = (F.col(label) >= 0) & F.col(target).isNotNull() & F.col(log_pred).isNotNull()
     total = F.sum(F.when(kept, divergence(target, log_pred)))
     aggs = [
         F.count_if(kept).alias("n_positions"),

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from uttermill.functions import arrays as A
 from uttermill.operators.ordering import row_index, running_total
 
+#: Parts a group is ranked in before its winners meet.
+SALTS = 64
 # Rows per shard of the three builders.
 SHARD_ROWS = {"small": 2000, "ctc": 1000, "adapter": 500}
 
@@ -48,7 +50,10 @@ def assign_shards(
     matched = F.lit(True) if matched is None else matched
     shards = shard_table(df, n, pos, by, matched)
     keyed = df.where(matched).withColumn("block", F.ceil(F.col(pos) / n))
-    return keyed.join(shards, [*by, "block"]).select(*df.columns, "shard")
+    # A null group is a group.
+    other = shards.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("block").alias("_block"), "shard")
+    on = [F.col("block") == F.col("_block")] + [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return keyed.join(other, on).select(*df.columns, "shard")
 
 
 def interleave(
@@ -96,15 +101,10 @@ def assemble_batches(
     return out.select(*df.columns, "batch")
 
 
-def bucket_by_length(df: DataFrame, labels: str, key: str) -> DataFrame:
-    """Positions in length order, so that batches need little padding."""
-    with_size = df.withColumn("_size", F.size(labels))
-    return row_index(with_size, ["_size", key]).drop("_size")
-
-
 def checkpoint_step(name: Column | str, prefix: str = "checkpoint") -> Column:
     """Numeric step in a ``prefix-<step>`` name; NULL for other names."""
     col = F.col(name) if isinstance(name, str) else name
+    # Fixed value: the run-name format on disk.
     found = F.regexp_extract(col, rf"^.*{prefix}-([0-9]+)", 1)
     return F.when(found != "", found.cast("bigint"))
 
@@ -114,18 +114,21 @@ def retain_newest(
 ) -> DataFrame:
     """Mark the ``keep`` newest rows per group; the others are to be deleted.
 
-    The ranking alone would sort a hot group in one task.  A rank filter is
-    pushed below the shuffle for ``keep`` up to 1000 (at most ``keep`` rows per
-    group leave a task), and the oldest kept row then decides about all others.
+    The ranking alone would sort a hot group in one task.  Rows are ranked inside
+    salted parts of their group first, the best ``keep`` of each part are ranked
+    again, and the oldest kept row then decides about all others.  A null group is
+    a group.
     """
     order = [F.desc(step), F.desc(tiebreak)]
-    top = (
-        df.select(by, step, tiebreak)
-        .withColumn("_rn", F.row_number().over(W.partitionBy(by).orderBy(*order)))
-        .where(F.col("_rn") <= keep)
-    )
-    oldest = top.groupBy(by).agg(F.min(F.struct(step, tiebreak)).alias("_cut"))
-    return df.join(oldest, by).select(
+    salt = F.pmod(F.xxhash64(step, tiebreak), F.lit(SALTS)).alias("_salt")
+
+    def best(rows: DataFrame, *keys: str) -> DataFrame:
+        ranked = rows.withColumn("_rn", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+        return ranked.where(F.col("_rn") <= keep).drop("_rn")
+
+    top = best(best(df.select(by, step, tiebreak, salt), by, "_salt"), by)
+    oldest = top.groupBy(F.col(by).alias("_by")).agg(F.min(F.struct(step, tiebreak)).alias("_cut"))
+    return df.join(oldest, F.col(by).eqNullSafe(F.col("_by"))).select(
         *df.columns, (F.struct(step, tiebreak) >= F.col("_cut")).cast("int").alias("kept")
     )
 
@@ -139,6 +142,7 @@ def latest_per_group(df: DataFrame, by: Sequence[str], path: str, step: str) ->
 
 def last_checkpoint(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
     """Newest ``checkpoint-<step>-epoch-<epoch>`` per group; other names are ignored."""
+    # Fixed value: the run-name format on disk.
     pattern = r"^checkpoint-(\d+)-epoch-(\d+)$"
     runs = df.where(F.regexp_like(F.col(name), F.lit(pattern))).withColumn(
         "step", F.regexp_extract(name, pattern, 1).cast("bigint")

@@ -31,15 +31,15 @@ def pair_strict(
 ) -> DataFrame:
     """Attach the transcript at the rewritten path; a missing one is an error.
 
-    The check happens while rows are read, so it fails the job, not the plan.
+    The check is a filter, so every plan over the result runs it, whatever
+    columns it reads; it fails the job, not the planning.
     """
     left = _with_key(audio, path, swaps, "_key")
     right = _texts(texts, path, text, "_key", "_text")
     failed = F.raise_error(F.concat(F.lit("no transcript for "), F.col(path)))
-    return left.join(right.withColumn("_hit", F.lit(True)), "_key", "left").select(
-        *audio.columns,
-        F.when(F.col("_hit"), F.col("_text")).otherwise(failed.cast("string")).alias("transcript"),
-    )
+    joined = left.join(right.withColumn("_hit", F.lit(True)), "_key", "left")
+    found = F.when(F.col("_hit"), F.lit(True)).otherwise(failed.cast("boolean"))
+    return joined.where(found).select(*audio.columns, F.col("_text").alias("transcript"))
 
 
 def pair_skip(

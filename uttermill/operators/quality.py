@@ -25,7 +25,7 @@ FEATURE_SHAPE = (80, 3000)
 RELABEL_CER = 15.0
 
 # Leading bytes of the readable container formats.
-AUDIO_MAGIC = ("52494646", "664C6143", "494433", "4F676753", "FFFB", "FFF3", "FFF2")
+AUDIO_MAGIC = ("664C6143", "494433", "4F676753")
 
 
 def min_text(c: Column | str, k: int) -> Column:
@@ -61,23 +61,24 @@ def char_band(
 
 
 def readable_media(content: Column | str, magic: Sequence[str] = AUDIO_MAGIC) -> Column:
-    """True when the payload starts with one of the (hex) signatures."""
+    """True when the payload starts with one of the (hex) signatures.
+
+    With the audio signatures also: WAVE inside RIFF, an ``ftyp`` box, and any frame
+    that starts with the eleven sync bits of MPEG audio.
+    """
     head = A._col(content)
     hits = [F.hex(F.substring(head, 1, len(m) // 2)) == m for m in magic]
+    if magic is AUDIO_MAGIC:
+        code = F.hex(F.substring(head, 1, 12))
+        hits.append(code.startswith("52494646") & (F.substring(code, 17, 8) == "57415645"))
+        hits.append(F.substring(code, 9, 8) == "66747970")
+        hits.append(F.regexp_like(code, F.lit("^FF[EF]")))
     out = hits[0]
     for hit in hits[1:]:
         out = out | hit
     return F.coalesce(out, F.lit(False))
 
 
-def not_blank(c: Column | str) -> Column:
-    return A._col(c) != ""
-
-
-def is_wrong(norm_ref: Column | str, norm_pred: Column | str) -> Column:
-    return A._col(norm_ref) != A._col(norm_pred)
-
-
 def admit(df: DataFrame, rules: Mapping[str, Column], name: str = "reject_reason") -> DataFrame:
     """Name the first rule a row breaks; NULL admits it.
 

@@ -343,11 +343,19 @@ def cer_relabel(spark, sf):
     )
 
 
+def _report(spark, sf) -> DataFrame:
+    return evaluation.error_report(S.predictions(spark, sf), ["file_id", "model"], "ref", "pred")
+
+
 @query
 def error_report(spark, sf):
-    last = S.predictions(spark, sf).where(F.col("model") == 2)
-    report = evaluation.error_report(last, "file_id", "ref", "pred", errors_only=True)
-    return ordering.first_rows(report, ["file_id"], 200_000)
+    return _report(spark, sf).where("norm_target <> norm_pred").withColumn("model", F.col("model").cast("bigint"))
+
+
+@query
+def first_rows(spark, sf):
+    last = _report(spark, sf).where(F.col("model") == 2).drop("model")
+    return ordering.first_rows(last, ["file_id"], 100)
 
 
 @query
@@ -409,11 +417,11 @@ def mean_batch_metric(spark, sf):
 
 def _distributions(spark, sf) -> DataFrame:
     emb = S.table(spark, sf, "embeddings")
-    rotated = F.concat(F.slice("embedding", 2, 63), F.slice("embedding", 1, 1))
+    rotated = F.concat(F.slice("embedding", F.lit(2), F.size("embedding")), F.slice("embedding", 1, 1))
     return emb.select(
         (F.col("label") - 3).alias("label"),
-        A.softmax("embedding").alias("p"),
-        F.transform(A.softmax(rotated), lambda x: F.ln(x)).alias("log_q"),
+        F.transform(A.log_softmax("embedding", 2.0), lambda x: F.exp(x)).alias("p"),
+        A.log_softmax(rotated, 2.0).alias("log_q"),
     )
 
 
@@ -475,6 +483,19 @@ def mix_corpora(spark, sf):
     )
 
 
+@query
+def mix_weighted(spark, sf):
+    weights = {s.name: s.samples for s in corpora.parse_specs("src0+src1", "all+all", samples="0.3+0.7")}
+    return corpora.mix_weighted(S.utterances(spark, sf), weights, "utt_id", seed=7).select("utt_id", "corpus")
+
+
+@query
+def retain_newest_by_quality(spark, sf):
+    docs = S.table(spark, sf, "documents").select("doc_id").join(S.table(spark, sf, "labels"), "doc_id", "left")
+    runs = docs.select(F.col("quality").alias("run"), F.col("doc_id").alias("step"))
+    return layout.retain_newest(runs, "run", "step", 50, "step")
+
+
 @query
 def cast_and_check(spark, sf):
     events = quality.require_columns(S.table(spark, sf, "events"), ["event_id", "ts", "value"])
@@ -735,11 +756,10 @@ def sharded_files(spark, sf):
 @query
 def report_files(spark, sf):
     base = scratch_path(spark, "report")
-    last = S.predictions(spark, sf).where(F.col("model") == 1)
-    report = evaluation.error_report(last, "file_id", "ref", "pred")
-    writers.write_report(report, base, "file_id", 200_000)
-    every = readers.load(spark, f"{base}/all_predictions").select("file_id", F.lit(0).alias("wrong"))
-    wrong = readers.load(spark, f"{base}/incorrect_predictions").select("file_id", F.lit(1).alias("wrong"))
+    writers.write_report(_report(spark, sf), base, ["file_id", "model"])
+    model = F.col("model").cast("bigint").alias("model")
+    every = readers.load(spark, f"{base}/all_predictions").select("file_id", model, F.lit(0).alias("wrong"))
+    wrong = readers.load(spark, f"{base}/incorrect_predictions").select("file_id", model, F.lit(1).alias("wrong"))
     return every.union(wrong)
 
 
@@ -748,10 +768,13 @@ def text_blob(spark, sf):
     base = scratch_path(spark, "blob")
     turns = S.table(spark, sf, "conversations").select("conv_id", "turn", "text")
     keys = ordering.row_index(turns.select("conv_id", "turn"), ["conv_id", "turn"])
-    flat = turns.join(keys, ["conv_id", "turn"]).withColumn("text", F.replace("text", F.lit("\n"), F.lit(" ")))
-    writers.append_text(evaluation.concat_text(flat, "text", "row_idx", 100), base)
-    lines = spark.read.text(base)
-    return lines.select(F.length("value").cast("bigint").alias("n_chars"), F.md5("value").alias("digest"))
+    chunks = evaluation.concat_text(turns.join(keys, ["conv_id", "turn"]), "text", "row_idx", 100)
+    for _ in range(2):
+        writers.append_text(chunks, base)
+    parts = readers.load(spark, base)
+    return parts.select(
+        F.col("call").cast("bigint").alias("call"), "chunk", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("digest")
+    )
 
 
 # --- caller functions ---------------------------------------------------------

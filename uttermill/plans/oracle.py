@@ -25,12 +25,12 @@ def _normalize(expr: str) -> str:
     s = f"regexp_replace({s}, '[。々-〇【】！，：？￤￩]', '', 'g')"
     s = rf"regexp_replace({s}, '[!-/:-@\[-`{{-~]', '', 'g')"
     s = f"regexp_replace({s}, '[、：；？！]', '', 'g')"
-    s = rf"regexp_replace({s}, '[,?.!\-;:\"%''“”‘�«»]', '', 'g')"
+    s = rf"regexp_replace({s}, '[,?.!\-;:\"“%‘”�''»«]', '', 'g')"
     return f"replace(lower({s}), ' ', '')"
 
 
 def _vocab_clean(expr: str, lower: bool = True) -> str:
-    s = rf"regexp_replace({expr}, '[,?.!\-;:\"%''“”‘�«»]', '', 'g')"
+    s = rf"regexp_replace({expr}, '[,?.!\-;:\"“%‘”�''»«]', '', 'g')"
     s = f"lower({s})" if lower else s
     return f"regexp_replace({s}, '[。々-〇【】，：？￤￩]', '', 'g')"
 
@@ -61,7 +61,7 @@ _U = """SELECT doc_id AS utt_id, source AS corpus, lang AS split, text AS senten
 _SPOKEN = "SELECT conv_id || '/' || turn AS file_id, role, text AS ref FROM conversations"
 
 _P = f"""SELECT file_id, role, ref, m AS model,
-    CASE WHEN length(ref) < 200 THEN '' WHEN m = 0 THEN ref WHEN m = 1 THEN reverse(ref)
+    CASE WHEN CAST(('0x' || substr(md5('hole:' || file_id), 1, 8)) AS BIGINT) % 3 = 0 THEN '' WHEN m = 0 THEN ref WHEN m = 1 THEN reverse(ref)
          ELSE replace(ref, 'e', '') END AS pred
     FROM ({_SPOKEN}) s, (VALUES (0), (1), (2)) k(m) WHERE role <> 'system'"""
 
@@ -168,7 +168,7 @@ _NOISE = f"""
 _RTF = """SELECT user_id AS model, value AS gen_time,
     CAST(json_extract_string(props, '$.k') AS DOUBLE) + 1 AS seconds FROM events"""
 
-_REPORT = f"""SELECT file_id, ref AS target, pred, {_normalize('ref')} AS norm_target,
+_REPORT = f"""SELECT file_id, model, ref AS target, pred, {_normalize('ref')} AS norm_target,
     {_normalize('pred')} AS norm_pred FROM ({_P}) p"""
 
 _RELABEL = f"""SELECT *, {_basic('ref')} AS nr, {_basic('pred')} AS np FROM ({_P}) p"""
@@ -265,9 +265,10 @@ ORACLE: dict[str, str] = {
         CASE WHEN near THEN pred ELSE ref END AS label
         FROM (SELECT *, length(nr) > 0 AND 100 * {_edits('nr', 'np')} / length(nr) < 15 AS near
             FROM ({_RELABEL}) r) x""",
-    "error_report": f"""SELECT * FROM ({_REPORT.replace('FROM (', 'FROM (SELECT * FROM (', 1)}
-        WHERE model = 2) q) z WHERE length(norm_target) > 0 AND norm_target <> norm_pred
-        ORDER BY file_id LIMIT 200000""",
+    "error_report": f"""SELECT z.* REPLACE (CAST(model AS BIGINT) AS model) FROM ({_REPORT}) z
+        WHERE length(norm_target) > 0 AND norm_target <> norm_pred""",
+    "first_rows": f"""SELECT z.* EXCLUDE (model) FROM ({_REPORT}) z
+        WHERE model = 2 AND length(norm_target) > 0 ORDER BY file_id LIMIT 100""",
     "char_frequency": f"""SELECT lang, ch, count(*) AS n
         FROM (SELECT lang, unnest({_chars('text')}) AS ch FROM documents) x GROUP BY lang, ch""",
     "char_union": f"""SELECT ch, CAST(ord(ch) AS BIGINT) AS code FROM (
@@ -287,8 +288,8 @@ ORACLE: dict[str, str] = {
     "mean_batch_metric": """SELECT count(*) AS n_batches, round(avg(v), 4) AS mean_value FROM (
         SELECT event_id // 64 AS batch, avg(value) AS v FROM events GROUP BY 1) x""",
     "masked_divergence": """
-        WITH t AS (SELECT label - 3 AS label, embedding::DOUBLE[] AS a,
-            list_concat(embedding[2:64], embedding[1:1])::DOUBLE[] AS b FROM embeddings),
+        WITH t AS (SELECT label - 3 AS label, list_transform(embedding::DOUBLE[], lambda v: v / 2) AS a,
+            list_transform(list_concat(embedding[2:], embedding[1:1])::DOUBLE[], lambda v: v / 2) AS b FROM embeddings),
         x AS (SELECT label, list_transform(a, lambda v: exp(v - list_max(a))) AS p,
             list_transform(b, lambda v: exp(v - list_max(b))) AS q FROM t),
         y AS (SELECT label, list_transform(p, lambda v: v / list_sum(p)) AS p,
@@ -307,6 +308,14 @@ ORACLE: dict[str, str] = {
     "mix_corpora": f"""SELECT utt_id, split, corpus FROM ({_U}) u
         WHERE {_uniform("'7'", 'utt_id')} < CASE split WHEN 'en' THEN 0.25 WHEN 'fr' THEN 0.5
             WHEN 'de' THEN 0.75 WHEN 'es' THEN 1.0 END""",
+    "mix_weighted": f"""WITH k AS (SELECT *, row_number() OVER (PARTITION BY corpus
+            ORDER BY md5('7:' || utt_id), utt_id) - 1 AS rank, CASE corpus WHEN 'src0' THEN 0.3::DOUBLE ELSE 0.7::DOUBLE END AS share
+            FROM ({_U}) u WHERE corpus IN ('src0', 'src1')),
+        t AS (SELECT min(floor(n / share + 1e-9)) AS size FROM (SELECT count(*) AS n, share FROM k GROUP BY share) c)
+        SELECT utt_id, corpus FROM k, t WHERE rank < floor(size * share + 1e-9)""",
+    "retain_newest_by_quality": """SELECT quality AS run, doc_id AS step,
+        CAST(row_number() OVER (PARTITION BY quality ORDER BY doc_id DESC) <= 50 AS INT) AS kept
+        FROM documents LEFT JOIN labels USING (doc_id)""",
     "cast_and_check": """SELECT event_id, ts::DATE::VARCHAR AS day, CAST(floor(value) AS BIGINT) AS whole,
         value::FLOAT::DOUBLE AS single FROM events""",
     "replicate_augment": _AUGMENTED,
@@ -367,12 +376,12 @@ ORACLE: dict[str, str] = {
     "transcript_files": "SELECT item_id, strlen(text) + 1 AS length, text FROM benchmark",
     "vocab_file": f"WITH {_VOCAB} SELECT ch, CAST(id AS BIGINT) AS id FROM vocab",
     "report_files": f"""
-        WITH r AS (SELECT * FROM ({_REPORT.replace('FROM (', 'FROM (SELECT * FROM (', 1)} WHERE model = 1) q) z
-            WHERE length(norm_target) > 0)
-        SELECT file_id, 0 AS wrong FROM r UNION ALL
-        SELECT file_id, 1 AS wrong FROM r WHERE norm_target <> norm_pred""",
-    "text_blob": r"""SELECT length(t) AS n_chars, md5(t) AS digest FROM (
-        SELECT string_agg(replace(text, chr(10), ' '), '' ORDER BY row_idx) AS t FROM (
+        WITH r AS (SELECT * FROM ({_REPORT}) z WHERE length(norm_target) > 0)
+        SELECT file_id, CAST(model AS BIGINT) AS model, 0 AS wrong FROM r UNION ALL
+        SELECT file_id, CAST(model AS BIGINT), 1 AS wrong FROM r WHERE norm_target <> norm_pred""",
+    "text_blob": r"""SELECT call, chunk, length(t) AS n_chars, md5(t) AS digest
+        FROM (VALUES (1::BIGINT), (2::BIGINT)) v(call), (
+        SELECT chunk, string_agg(text, '' ORDER BY row_idx) AS t FROM (
             SELECT text, row_number() OVER (ORDER BY conv_id, turn) - 1 AS row_idx,
                 (row_number() OVER (ORDER BY conv_id, turn) - 1) // 100 AS chunk FROM conversations) x
         GROUP BY chunk) y""",

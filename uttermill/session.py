@@ -82,12 +82,17 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+#: Scans with this many splits are never dealt out anew.
+SPREAD = 16
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal the rows of a small scan out to all cores; large scans pass through.
 
     A table of a few megabytes is one or two splits, which leaves most cores
     idle in work that costs far more than reading.  The split count of a plain
-    scan is known without running it; with a split per core there is no shuffle.
+    scan is known without running it; from SPREAD splits on, a fixed small number,
+    nothing is shuffled, however many cores there are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD)
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -42,12 +42,20 @@ def write_predictions(df: DataFrame, path: str) -> None:
     )
 
 
-def append_text(chunks: DataFrame, path: str, order: Sequence[str] = ("chunk",), text: str = "text") -> None:
-    """Append ordered text chunks; each record is one chunk.
+def append_text(chunks: DataFrame, path: str, order: str = "chunk", text: str = "text") -> None:
+    """Append text chunks as rows (call, chunk, text): nothing is put between them.
 
-    Records of a part file, and part files by name, are in chunk order.
+    A later call has a higher number; (call, chunk) is the order of the whole text.
     """
-    chunks.orderBy(*order).select(text).write.mode("append").text(path)
+    spark = chunks.sparkSession
+    try:
+        last = spark.read.parquet(path).agg(F.max("call")).first()[0]
+    except AnalysisException as err:
+        if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        last = None
+    rows = chunks.select(F.lit((last or 0) + 1).alias("call"), F.col(order).alias("chunk"), F.col(text).alias("text"))
+    rows.write.mode("append").parquet(path)
 
 
 def write_vocab(vocab: DataFrame, path: str) -> None:
@@ -75,8 +83,13 @@ def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame])
     return spark.read.parquet(path)
 
 
-def write_report(report: DataFrame, path: str, key: str, n: int) -> None:
-    """The first ``n`` predictions, and the first ``n`` wrong ones."""
-    first_rows(report, [key], n).write.mode("overwrite").parquet(f"{path}/all_predictions")
+def write_report(report: DataFrame, path: str, key: str | Sequence[str], n: int | None = None) -> None:
+    """All predictions and all wrong ones, or the first ``n`` of each in the order of ``key``."""
+    keys = [key] if isinstance(key, str) else list(key)
+
+    def part(rows: DataFrame) -> DataFrame:
+        return rows if n is None else first_rows(rows, keys, n)
+
+    part(report).write.mode("overwrite").parquet(f"{path}/all_predictions")
     wrong = report.where(F.col("norm_target") != F.col("norm_pred"))
-    first_rows(wrong, [key], n).write.mode("overwrite").parquet(f"{path}/incorrect_predictions")
+    part(wrong).write.mode("overwrite").parquet(f"{path}/incorrect_predictions")
