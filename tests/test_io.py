@@ -112,9 +112,27 @@ def test_stream_totals_and_snapshot(spark, tmp_path):
     got = jobs.current_totals(spark, str(tmp_path / "tot"))
     assert sorted(got.collect()) == sorted(batch.collect())
     jobs.stream_snapshot(stream, str(tmp_path / "snap"), str(tmp_path / "l2"), every=2)
-    snap = spark.read.parquet(str(tmp_path / "snap/snapshot"))
+    snap = jobs.read_snapshot(spark, str(tmp_path / "snap"))
     assert sorted(snap.collect()) == sorted(spark.read.parquet(src).collect())
 
 
+def test_snapshot_leaves_out_batches_not_yet_published(spark, tmp_path):
+    src, stream = _stream(spark, tmp_path)
+    at = str(tmp_path / "snap")
+    jobs.stream_snapshot(stream, at, str(tmp_path / "log"))
+    spark.range(1).select(F.lit(7).cast("long").alias("id"), F.lit(0).cast("long").alias("m")).write.parquet(f"{at}/log/batch_id=99")
+    assert jobs.read_snapshot(spark, at).count() == 30
+    jobs.stream_snapshot(stream, at, str(tmp_path / "log"))
+    assert jobs.read_snapshot(spark, at).count() == 31
+    assert len(list((tmp_path / "snap/versions").glob("slot=*"))) <= 2
+
+
+def test_listing_is_sorted_and_names_a_file_once(spark, tmp_path):
+    for name in ("b.txt", "a.txt", "a.wav", "c.md"):
+        (tmp_path / name).write_text("x")
+    found = readers.list_files(spark, str(tmp_path), ["*.txt", "a.*"]).select("path").collect()
+    assert [r["path"].rsplit("/", 1)[1] for r in found] == ["a.txt", "a.wav", "b.txt"]
+
+
 def test_every_query_has_a_name_of_its_own():
     assert len(catalogue.QUERIES) == len(set(catalogue.QUERIES))

@@ -57,6 +57,19 @@ def normalize_basic(spark, sf):
     return S.utterances(spark, sf).select("utt_id", X.normalize_basic("sentence").alias("sentence"))
 
 
+@query
+def normalize_marked(spark, sf):
+    """The cleaners over texts that hold every kind of mark they remove."""
+    marked = S.marked_utterances(spark, sf)
+    return marked.select(
+        "utt_id",
+        X.normalize("sentence").alias("normalized"),
+        X.vocab_clean("sentence").alias("lowered"),
+        X.normalize_basic("sentence").alias("basic"),
+        X.strip("sentence").alias("stripped"),
+    )
+
+
 @query
 def strip_length_filter(spark, sf):
     kept = S.utterances(spark, sf).where(quality.min_text("sentence", quality.MIN_CHARS_VOCAB))
@@ -171,8 +184,19 @@ def media_signature(spark, sf):
     )
 
 
+#: Leading bytes (hex) of MPEG audio, WAVE, WEBP, an ``ftyp`` box, MPEG 2.5, no audio, and none.
+_HEADERS = ("FFFA9064", "524946462400000057415645", "524946462400000057454250", "0000001866747970", "FFE31800", "FF101800", "")
+
+
 @query
-def admission_report(spark, sf):
+def media_headers(spark, sf):
+    """Pages behind built headers, so that the audio test has something to find."""
+    kind = F.element_at(F.array(*[F.lit(h) for h in _HEADERS]), (F.pmod("page_id", F.lit(len(_HEADERS))) + 1).cast("int"))
+    content = F.concat(F.unhex(kind), F.coalesce(F.col("html"), F.lit("")).cast("binary"))
+    return S.table(spark, sf, "pages").select("page_id", _int(quality.readable_media(content)).alias("is_audio"))
+
+
+def _admitted(spark, sf) -> DataFrame:
     labels = S.table(spark, sf, "labels").withColumnRenamed("doc_id", "utt_id")
     rows = S.utterances(spark, sf).join(labels, "utt_id", "left")
     rules = {
@@ -182,8 +206,20 @@ def admission_report(spark, sf):
         "toxic or unknown": F.col("toxic") == 0,
         "low quality": F.col("quality") == 1,
     }
-    marked = quality.admit(rows, rules)
-    return marked.groupBy(F.coalesce("reject_reason", F.lit("admitted")).alias("reason")).agg(
+    return quality.admit(rows, rules)
+
+
+@query
+def admission_split(spark, sf):
+    """Admitted rows and quarantine side by side."""
+    admitted, quarantine = quality.split_admitted(_admitted(spark, sf))
+    none = admitted.select("utt_id", F.lit("").alias("reason"))
+    return none.union(quarantine.select("utt_id", "reject_reason"))
+
+
+@query
+def admission_report(spark, sf):
+    return _admitted(spark, sf).groupBy(F.coalesce("reject_reason", F.lit("admitted")).alias("reason")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("input_length"), 4).alias("seconds")
     )
 
@@ -587,6 +623,19 @@ def assemble_batches(spark, sf):
     return out.select("row_idx", "batch", F.size("labels").cast("bigint").alias("width"), F.md5(_join(F.col("labels"))).alias("digest"))
 
 
+@query
+def padding_mask(spark, sf):
+    """Padded ids, their attention mask, and the ids with padding ignored."""
+    codes = F.transform(X.chars("text"), lambda c: F.ascii(c))
+    rows = S.table(spark, sf, "conversations").select("conv_id", "turn", codes.alias("ids"))
+    mask = A.attention_mask("ids", 400)
+    ignored = A.ignore_padding(A.pad("ids", 400, 0), mask)
+    return rows.select(
+        "conv_id", "turn", F.size(mask).cast("bigint").alias("width"),
+        F.aggregate(mask, F.lit(0).cast("bigint"), lambda n, m: n + m).alias("n_real"), F.md5(_join(ignored)).alias("digest"),
+    )
+
+
 @query
 def shift_and_mask(spark, sf):
     codes = F.transform(X.chars("text"), lambda c: F.ascii(c))
@@ -620,17 +669,25 @@ def retain_newest(spark, sf):
     return layout.retain_newest(runs, "run", "step", 3, "step")
 
 
-@query
-def latest_per_group(spark, sf):
-    runs = S.table(spark, sf, "events").select(
-        F.col("user_id").alias("run"),
+def _runs(spark, sf) -> DataFrame:
+    return S.table(spark, sf, "events").select(
+        "event_id", F.col("user_id").alias("run"),
         F.concat(
             F.when(F.col("event_type") == "error", "broken-").otherwise("checkpoint-"),
             F.col("event_id").cast("string"), F.lit("-epoch-"),
             F.get_json_object("props", "$.k"),
         ).alias("path"),
     )
-    return layout.last_checkpoint(runs, ["run"], "path")
+
+
+@query
+def latest_per_group(spark, sf):
+    return layout.last_checkpoint(_runs(spark, sf).drop("event_id"), ["run"], "path")
+
+
+@query
+def checkpoint_steps(spark, sf):
+    return _runs(spark, sf).select("event_id", layout.checkpoint_step("path").alias("step"))
 
 
 @query
@@ -699,7 +756,20 @@ def stream_snapshot(spark, sf):
         F.col("event_id").cast("string").alias("file_id"), F.col("event_type").alias("transcript")
     )
     jobs.stream_snapshot(rows, out, ckpt)
-    return readers.load(spark, f"{out}/snapshot")
+    return jobs.read_snapshot(spark, out)
+
+
+@query
+def stream_resume(spark, sf):
+    """Two runs over one growing folder: the second takes up what the first has not seen."""
+    source, out, ckpt = (scratch_path(spark, name) for name in ("resumed", "resumed-out", "resumed-log"))
+    docs = S.table(spark, sf, "documents").select("doc_id", "text")
+    early = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    for part in (early, ~early):
+        docs.where(part).write.mode("append").parquet(source)
+        stream = readers.stream_corpus(spark, source, docs.schema)
+        jobs.stream_to_table(stream, out, ckpt, lambda df: df.where(quality.min_text("text", quality.MIN_CHARS_CORPUS)))
+    return readers.load(spark, out).select("doc_id", F.length("text").cast("bigint").alias("n_chars"))
 
 
 # --- files --------------------------------------------------------------------
@@ -723,10 +793,24 @@ def transcript_files(spark, sf):
     items = S.table(spark, sf, "benchmark").select("item_id", F.col("text").alias("value"))
     items.write.partitionBy("item_id").text(base)
     item = F.regexp_extract("path", "item_id=([0-9]+)", 1).cast("bigint").alias("item_id")
-    files = readers.list_files(spark, base, ["*.txt", "*.text"], recursive=True)
+    listed = readers.list_files(spark, base, ["*.txt", "part-*"], recursive=True)
+    files = ordering.row_index(listed, ["path"], name="place")
     read = readers.read_transcripts(spark, f"{base}/*", "*.txt")
     texts = read.select(item, F.regexp_replace("text", "\n$", "").alias("text"))
-    return files.select(item, "length").join(texts, "item_id").orderBy("item_id")
+    return files.select(item, "length", "place").join(texts, "item_id")
+
+
+@query
+def annotation_files(spark, sf):
+    """One JSON object ``{key: sentence}`` per file, fifty keys each."""
+    base = scratch_path(spark, "annotations")
+    entry = F.struct(F.col("item_id").cast("string"), "text")
+    bucket = F.floor(F.col("item_id") / 50).alias("bucket")
+    objects = S.table(spark, sf, "benchmark").groupBy(bucket).agg(
+        F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")
+    )
+    objects.write.partitionBy("bucket").text(base)
+    return readers.scan_json_map(spark, f"{base}/*").select(F.col("key").cast("bigint").alias("item_id"), "sentence")
 
 
 @query

@@ -35,9 +35,10 @@ def _vocab_clean(expr: str, lower: bool = True) -> str:
     return f"regexp_replace({s}, '[。々-〇【】，：？￤￩]', '', 'g')"
 
 
-def _basic(expr: str) -> str:
+def _basic(expr: str, wide: str = "", plain: str = "") -> str:
     s = rf"regexp_replace(lower({expr}), '[<\[][^>\]]*[>\]]', '', 'g')"
     s = rf"regexp_replace({s}, '\([^)]+?\)', '', 'g')"
+    s = f"translate({s}, '{wide}', '{plain}')" if wide else s
     s = rf"lower(regexp_replace({s}, '[\p{{M}}\p{{S}}\p{{P}}]', ' ', 'g'))"
     return rf"regexp_replace({s}, '\s+', ' ', 'g')"
 
@@ -58,6 +59,15 @@ def _uniform(*parts: str) -> str:
 _U = """SELECT doc_id AS utt_id, source AS corpus, lang AS split, text AS sentence,
     CAST(n_chars AS DOUBLE) / 64 AS input_length FROM documents"""
 
+_MARKED = f"""SELECT utt_id, chr(12288) || chr(9) || translate(replace(sentence, 'th', '[UNK]'), 'qxzjkwv',
+    '。“Ａ' || chr(9) || '々！；') || chr(12288) || ' ' || chr(10) AS sentence FROM ({_U}) u"""
+
+_ADMITTED = f"""SELECT utt_id, input_length, CASE WHEN length({_strip('sentence')}) <= 3 THEN 'short text'
+    WHEN input_length >= 30 THEN 'too long' WHEN length(sentence) >= 448 THEN 'too many tokens'
+    WHEN l.toxic IS DISTINCT FROM 0 THEN 'toxic or unknown'
+    WHEN l.quality IS DISTINCT FROM 1 THEN 'low quality' ELSE 'admitted' END AS reason
+    FROM ({_U}) u LEFT JOIN labels l ON l.doc_id = u.utt_id"""
+
 _SPOKEN = "SELECT conv_id || '/' || turn AS file_id, role, text AS ref FROM conversations"
 
 _P = f"""SELECT file_id, role, ref, m AS model,
@@ -179,6 +189,9 @@ ORACLE: dict[str, str] = {
         {_vocab_clean('sentence', False)} AS cased,
         regexp_replace(lower(sentence), '[!-&(-/:-@\[-`{{-~]', '', 'g') AS switched FROM ({_U}) u""",
     "normalize_basic": f"SELECT utt_id, {_basic('sentence')} AS sentence FROM ({_U}) u",
+    "normalize_marked": f"""SELECT utt_id, {_normalize('sentence')} AS normalized, {_vocab_clean('sentence')} AS lowered,
+        {_basic('sentence', 'ａ　', 'a ')} AS basic,
+        trim(sentence, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(12288)) AS stripped FROM ({_MARKED}) m""",
     "strip_length_filter": f"""SELECT utt_id, length(s) AS n_chars, CAST(length(s) > 3 AS INT) AS corpus_ok,
         CAST(length(s) > 5 AS INT) AS pseudo_ok
         FROM (SELECT utt_id, {_strip('sentence')} AS s FROM ({_U}) u) x WHERE length(s) > 1""",
@@ -204,12 +217,10 @@ ORACLE: dict[str, str] = {
     "shape_filter": "SELECT vec_id, 0 AS model_shape FROM embeddings WHERE len(embedding) = 64",
     "media_signature": """SELECT page_id, CAST(html LIKE '<!%' OR html LIKE '<h%' AS INT) AS is_page,
         0 AS is_audio FROM pages""",
-    "admission_report": f"""SELECT reason, count(*) AS n_rows, round(sum(input_length), 4) AS seconds FROM (
-        SELECT input_length, CASE WHEN length({_strip('sentence')}) <= 3 THEN 'short text'
-            WHEN input_length >= 30 THEN 'too long' WHEN length(sentence) >= 448 THEN 'too many tokens'
-            WHEN l.toxic IS DISTINCT FROM 0 THEN 'toxic or unknown'
-            WHEN l.quality IS DISTINCT FROM 1 THEN 'low quality' ELSE 'admitted' END AS reason
-        FROM ({_U}) u LEFT JOIN labels l ON l.doc_id = u.utt_id) x GROUP BY reason""",
+    "media_headers": "SELECT page_id, CAST(page_id % 7 IN (0, 1, 3, 4) AS INT) AS is_audio FROM pages",
+    "admission_split": f"SELECT utt_id, CASE WHEN reason = 'admitted' THEN '' ELSE reason END AS reason FROM ({_ADMITTED}) x",
+    "admission_report": f"""SELECT reason, count(*) AS n_rows, round(sum(input_length), 4) AS seconds
+        FROM ({_ADMITTED}) x GROUP BY reason""",
     "pair_strict": f"""SELECT a.path, t.text AS transcript FROM ({_AUDIO}) a
         LEFT JOIN ({_texts('clean', 'true')}) t ON t.path = {_key('clean').replace('path', 'a.path')}""",
     "pair_skip": f"""SELECT a.path, t.text AS transcript FROM ({_AUDIO}) a
@@ -345,6 +356,10 @@ ORACLE: dict[str, str] = {
             list_resize(l, width, -100) AS l FROM w),
         c AS (SELECT row_idx, batch, CASE WHEN cut THEN l[2:] ELSE l END AS l FROM p)
         SELECT row_idx, batch, len(l) AS width, md5(array_to_string(l, ' ')) AS digest FROM c""",
+    "padding_mask": f"""
+        WITH t AS (SELECT conv_id, turn, list_transform({_chars('text')}, lambda c: ord(c)) AS l FROM conversations)
+        SELECT conv_id, turn, greatest(len(l), 400) AS width, len(l) AS n_real,
+            md5(array_to_string(list_resize(l, greatest(len(l), 400), -100), ' ')) AS digest FROM t""",
     "shift_and_mask": f"""
         WITH t AS (SELECT conv_id, turn, list_transform({_chars('text')}, lambda c: ord(c)) AS l FROM conversations),
         p AS (SELECT *, coalesce(list_position(l, 32), 0) AS pos FROM t),
@@ -363,6 +378,8 @@ ORACLE: dict[str, str] = {
     "latest_per_group": """SELECT user_id AS run,
         arg_max('checkpoint-' || event_id || '-epoch-' || json_extract_string(props, '$.k'), event_id) AS path,
         max(event_id) AS step FROM events WHERE event_type <> 'error' GROUP BY user_id""",
+    "checkpoint_steps": """SELECT event_id, CASE WHEN event_type IS DISTINCT FROM 'error' THEN event_id END AS step
+        FROM events""",
     "seeded_shuffle": _shuffled("0", "shuffle_pos"),
     "epoch_shuffle": f"""SELECT utt_id, pos_1, pos_2 FROM ({_shuffled('0:1', 'pos_1')}) a
         JOIN ({_shuffled('0:2', 'pos_2')}) b USING (utt_id)""",
@@ -371,9 +388,12 @@ ORACLE: dict[str, str] = {
         round(sum(seconds), 4) AS audio_seconds FROM ({_RTF}) v GROUP BY model""",
     "stream_filter": f"""SELECT doc_id, {_normalize('text')} AS transcription FROM documents
         WHERE length({_strip('text')}) > 3""",
+    "stream_resume": f"SELECT doc_id, length(text) AS n_chars FROM documents WHERE length({_strip('text')}) > 3",
     "stream_snapshot": "SELECT event_id::VARCHAR AS file_id, event_type AS transcript FROM events",
     "roundtrip_io": f"SELECT file_id, ref AS transcript, ref AS cached FROM ({_SPOKEN}) s",
-    "transcript_files": "SELECT item_id, strlen(text) + 1 AS length, text FROM benchmark",
+    "transcript_files": """SELECT item_id, strlen(text) + 1 AS length, text,
+        row_number() OVER (ORDER BY item_id::VARCHAR || '/') - 1 AS place FROM benchmark""",
+    "annotation_files": "SELECT item_id, text AS sentence FROM benchmark",
     "vocab_file": f"WITH {_VOCAB} SELECT ch, CAST(id AS BIGINT) AS id FROM vocab",
     "report_files": f"""
         WITH r AS (SELECT * FROM ({_REPORT}) z WHERE length(norm_target) > 0)

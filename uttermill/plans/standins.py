@@ -49,6 +49,17 @@ def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Letters and the marks that stand in for them.
+MARKED = ("qxzjkwv", "。“Ａ\t々！；")
+
+
+def marked_utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Utterances with special tokens, CJK and curly marks, wide letters and outer white space."""
+    text = F.translate(F.replace("sentence", F.lit("th"), F.lit("[UNK]")), *MARKED)
+    padded = F.concat(F.lit("\u3000\t"), text, F.lit("\u3000 \n"))
+    return utterances(spark, sf_dir).select("utt_id", padded.alias("sentence"))
+
+
 def matched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document key, with 1 where a transcript (a label row) exists."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("corpus"))

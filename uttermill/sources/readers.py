@@ -31,18 +31,17 @@ def load_vocab(spark: SparkSession, path: str) -> DataFrame:
 def list_files(
     spark: SparkSession, root: str, globs: Sequence[str] = ("*",), recursive: bool = False
 ) -> DataFrame:
-    """Path, length and modification time; file contents are never opened."""
-    out = None
-    for pattern in globs:
-        one = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", pattern)
-            .option("recursiveFileLookup", str(recursive).lower())
-            .load(root)
-            .select("path", "length", "modificationTime")
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Path, length and modification time in path order; file contents are never opened.
+
+    All ``globs`` make one pattern, so a file that several of them match is listed once.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", globs[0] if len(globs) == 1 else "{" + ",".join(globs) + "}")
+        .option("recursiveFileLookup", str(recursive).lower())
+        .load(root)
+    )
+    return files.select("path", "length", "modificationTime").orderBy("path")
 
 
 def read_binary(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -29,22 +30,30 @@ def stream_to_table(
     query.awaitTermination()
 
 
-def stream_snapshot(
-    stream: DataFrame, path: str, checkpoint: str, every: int = 1,
-    write: Callable[[DataFrame, str], None] | None = None,
-) -> None:
-    """Append each micro-batch to a log; rewrite the full snapshot every ``every`` batches.
+def _publish(spark: SparkSession, path: str, upto: int) -> None:
+    """Name ``upto`` as the last batch of the snapshot.
+
+    Two slots are written in turn, so the version before stays readable while
+    a new one is written, and the folder does not grow.
+    """
+    row = spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
+    row.write.mode("overwrite").parquet(f"{path}/versions/slot={upto % 2}")
+
+
+def stream_snapshot(stream: DataFrame, path: str, checkpoint: str, every: int = 1) -> None:
+    """Append each micro-batch to a log; publish a snapshot every ``every`` batches and at the end.
 
     Each batch lands in a folder of its own number, so that a batch replayed
-    after a failure replaces itself.  The last snapshot is written at the end.
+    after a failure replaces itself.  A snapshot is the log up to a published
+    batch: no row is written twice, and readers see a whole version or the one before.
+    A stream without any batch publishes nothing.
     """
-    log, snapshot = f"{path}/log", f"{path}/snapshot"
-    store = write or (lambda df, target: df.write.mode("overwrite").parquet(target))
+    log = f"{path}/log"
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
         if batch_id > 0 and batch_id % every == 0:
-            store(batch.sparkSession.read.parquet(log).drop("batch_id"), snapshot)
+            _publish(batch.sparkSession, path, batch_id)
 
     query = (
         stream.writeStream.foreachBatch(on_batch)
@@ -53,7 +62,20 @@ def stream_snapshot(
         .start()
     )
     query.awaitTermination()
-    store(stream.sparkSession.read.parquet(log).drop("batch_id"), snapshot)
+    try:
+        last = stream.sparkSession.read.parquet(log).agg(F.max("batch_id")).first()[0]
+    except AnalysisException as err:
+        if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        last = None
+    if last is not None:
+        _publish(stream.sparkSession, path, last)
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the newest published snapshot; later batches are pruned by folder."""
+    upto = spark.read.parquet(f"{path}/versions").agg(F.max("upto")).first()[0]
+    return spark.read.parquet(f"{path}/log").where(F.col("batch_id") <= upto).drop("batch_id")
 
 
 def running_totals(
@@ -61,15 +83,16 @@ def running_totals(
 ) -> None:
     """Grouped sums kept as streaming state; each batch rewrites the totals table.
 
-    State holds one row per group.  The table is a folder per batch, the newest
-    one is the current result.
+    State holds one row per group.  Two folders are written in turn: the newest
+    batch is the current result, the one before stays while it is written.
     """
     totals = stream.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_samples"), *[F.sum(c).alias(n) for n, c in sums.items()]
     )
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        numbered.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
 
     query = (
         totals.writeStream.outputMode("complete")
@@ -81,8 +104,8 @@ def running_totals(
     query.awaitTermination()
 
 
-def current_totals(spark, path: str) -> DataFrame:
+def current_totals(spark: SparkSession, path: str) -> DataFrame:
     """The newest totals written by :func:`running_totals`."""
     every = spark.read.parquet(path)
     newest = every.agg(F.max("batch_id").alias("batch_id"))
-    return every.join(F.broadcast(newest), "batch_id").drop("batch_id")
+    return every.join(F.broadcast(newest), "batch_id").drop("batch_id", "slot")
