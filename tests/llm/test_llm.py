@@ -216,6 +216,17 @@ def test_repeats(docs, rows, nothing):
     assert substrings.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("shared", [None, 7])
+def test_repeats_under_one_key(spark, shared):
+    passage, own = [f"p{k}" for k in range(20)], [f"w{k}" for k in range(60)]
+    texts = [(1, passage), (shared, [*passage, *own[:5]]), (shared, own), (shared, [*own[:3], *passage]), (shared, [*passage, *own[:5]])]
+    rows = [(i, " ".join(w)) for i, w in texts]
+    out = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
+    got = sorted((r.n_words, r.n_removed, r.kept_text) for r in out.collect() if r.doc_id != 1)
+    want = [(25, 20, " ".join(own[:5]))] * 2 + [(23, 20, " ".join(own[:3])), (60, 0, " ".join(own))]
+    assert got == sorted(want)
+
+
 def test_class_model(docs, rows, nothing):
     held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i, *_ in rows}
     tokens = {i: [*words(t), None] for i, t, *_ in rows}
