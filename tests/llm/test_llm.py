@@ -307,6 +307,21 @@ def test_field_spreads_over_repeats():
     assert pii.more_spans([text], [pii.base_spans(text)], model) == [[(28, 35, 3)]]
 
 
+def test_field_reaches_every_repeat():
+    model = {"node": np.zeros((pii.FEATURES, pii.LABELS)), "chain": np.zeros((pii.LABELS, pii.LABELS)), "skip": 8 * np.eye(pii.LABELS)}
+    text = "call +1 626 5555759 now" + ", or 5555759 again" * 50
+    starts = [m.start() for m in re.finditer("5555759", text)][1:]
+    assert pii.more_spans([text], [pii.base_spans(text)], model) == [[(a, a + 7, 3) for a in starts]]
+
+
+def test_field_settles_along_a_chain():
+    model = {"node": np.zeros((pii.FEATURES, pii.LABELS)), "chain": 12 * np.eye(pii.LABELS), "skip": np.zeros((pii.LABELS, pii.LABELS))}
+    text = "+1 626 5555759" + "".join(f" x{k}" for k in range(40))
+    g = pii._graph([text], [pii.base_spans(text)])
+    want = np.linalg.matrix_power(np.exp(12 * np.eye(pii.LABELS)) / (np.exp(12) + pii.LABELS - 1) + (1 - np.eye(pii.LABELS)) / (np.exp(12) + pii.LABELS - 1), 40)[4]
+    assert np.abs(pii.marginals(g, model)[-1] - want).max() < 0.01
+
+
 def test_toxicity(spark, nothing):
     rnd = random.Random(1)
     plain, bad = [f"w{i}" for i in range(200)], ["vile", "scum"]

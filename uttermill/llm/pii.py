@@ -29,8 +29,8 @@ _SIGNAL = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 _EDGE = ".,;:!?\"'()[]{}<>"
 
-#: Texts learnt from, rounds of learning and of message passing, and what a span needs.
-SAMPLE, STEPS, ROUNDS, SURE = 4000, 200, 12, 0.95
+#: Texts learnt from, rounds of learning, the largest change of settled messages, and what a span needs.
+SAMPLE, STEPS, SETTLED, SURE = 4000, 200, 1e-4, 0.95
 FEATURES = 64
 LABELS = 1 + len(KINDS)
 
@@ -114,16 +114,16 @@ def _features(text: str, tokens: list[tuple[int, int, str]], i: int) -> list[int
 
 
 def _graph(texts: list[str], spans: list[list[Span]]) -> dict:
-    """Nodes of all texts, chain edges between neighbours and skip edges between equal tokens.
+    """Nodes of all texts, chain edges between neighbours, and a hub for each group of equal tokens.
 
-    Equal tokens (without case and outer punctuation) are linked from each to the next
-    one, and so are tokens with equal digits: edges grow with the text only.
+    Equal tokens (without case and outer punctuation) share a hub, and so do tokens with
+    equal digits: any two repeats are two edges apart, and edges grow with the text only.
     """
-    feats, owner, where, gold, chain, skip = [], [], [], [], [], []
+    feats, owner, where, gold, chain, hubs, skip = [], [], [], [], [], [], []
     for t, text in enumerate(texts):
         if not _SIGNAL.search(text):
             continue
-        tokens, last = tokens_of(text), {}
+        tokens, groups = tokens_of(text), {}
         first, s = len(feats), 0
         own = sorted(spans[t])
         for i, (start, end, core) in enumerate(tokens):
@@ -139,14 +139,29 @@ def _graph(texts: list[str], spans: list[list[Span]]) -> dict:
                 chain.append((node - 1, node))
             digits = _digits(core)
             for word in {core.lower(), digits if len(digits) >= 7 else core.lower()}:
-                if word in last:
-                    skip.append((last[word], node))
-                last[word] = node
+                groups.setdefault(word, []).append(node)
+        for nodes in groups.values():
+            if len(nodes) > 1:
+                skip += [(len(hubs), node) for node in nodes]
+                hubs.append(t)
     pack = lambda e: np.array(e, np.int64).reshape(-1, 2)
     x = np.zeros((len(feats), FEATURES), np.float32)
     for i, f in enumerate(feats):
         x[i, f] = 1
-    return {"x": x, "owner": np.array(owner, np.int64), "where": where, "gold": np.array(gold, np.int64), "chain": pack(chain), "skip": pack(skip)}
+    ints = {"owner": np.array(owner, np.int64), "gold": np.array(gold, np.int64), "hubs": np.array(hubs, np.int64)}
+    return {"x": x, "where": where, "chain": pack(chain), "skip": pack(skip), **ints}
+
+
+def _votes(g: dict) -> np.ndarray:
+    """How often each hub's tokens were matched as each label."""
+    votes = np.zeros((len(g["hubs"]), LABELS), np.int64)
+    np.add.at(votes, (g["skip"][:, 0], g["gold"][g["skip"][:, 1]]), 1)
+    return votes
+
+
+def _seen_kind(votes: np.ndarray) -> np.ndarray:
+    """The kind matched most often, 0 where none was."""
+    return np.where(votes[:, 1:].any(1), votes[:, 1:].argmax(1) + 1, 0)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -155,7 +170,10 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def fit(texts: list[str]) -> dict:
-    """Potentials by pseudo-likelihood: each label given its token and the labels it is linked to."""
+    """Potentials by pseudo-likelihood: each label given its token and the labels it is linked to.
+
+    A hub has the kind that the other tokens of its group were matched as.
+    """
     g = _graph(texts, [base_spans(t) for t in texts])
     x, y = g["x"], g["gold"]
     one = np.eye(LABELS, dtype=np.float32)[y]
@@ -165,7 +183,12 @@ def fit(texts: list[str]) -> dict:
         np.add.at(total, edges[:, a], one[edges[:, b]])
         return total
 
-    near = {"node": x, "left": beside(g["chain"], 1, 0), "right": beside(g["chain"], 0, 1), "skip": beside(g["skip"], 0, 1) + beside(g["skip"], 1, 0)}
+    hub, node = g["skip"].T
+    others = _votes(g)[hub]
+    others[np.arange(len(node)), y[node]] -= 1
+    repeated = np.zeros_like(one)
+    np.add.at(repeated, node, np.eye(LABELS, dtype=np.float32)[_seen_kind(others)])
+    near = {"node": x, "left": beside(g["chain"], 1, 0), "right": beside(g["chain"], 0, 1), "skip": repeated}
     weight = {k: np.zeros((v.shape[1], LABELS)) for k, v in near.items()}
     square = {k: np.full_like(v, 1e-8) for k, v in weight.items()}
     for _ in range(STEPS if len(x) else 0):
@@ -174,39 +197,61 @@ def fit(texts: list[str]) -> dict:
             grad = near[k].T @ off + 1e-5 * weight[k]
             square[k] += grad * grad
             weight[k] -= 0.5 * grad / np.sqrt(square[k])
-    # One table per edge kind: rows are the label of the earlier end.
-    return {"node": weight["node"], "chain": (weight["left"] + weight["right"].T) / 2, "skip": (weight["skip"] + weight["skip"].T) / 2}
+    # One table per edge kind: rows are the label of the earlier token, or of the hub.
+    return {"node": weight["node"], "chain": (weight["left"] + weight["right"].T) / 2, "skip": weight["skip"]}
 
 
 def marginals(g: dict, model: dict) -> np.ndarray:
-    """Label probabilities of all nodes by loopy belief propagation; pattern matches are observed."""
-    local = g["x"] @ model["node"]
-    seen = g["gold"] > 0
+    """Label probabilities of all nodes by loopy belief propagation; pattern matches are observed.
+
+    A hub with a matched token is observed too, as the kind matched most often.  Messages
+    of a text pass until none changes by more than ``SETTLED``, whatever other texts are
+    there; one that never settles ends after 100 rounds and four for each of its nodes.
+    """
+    nodes = len(g["x"])
+    local = np.concatenate([g["x"] @ model["node"], np.zeros((len(g["hubs"]), LABELS))])
+    gold = np.concatenate([g["gold"], _seen_kind(_votes(g))])
+    text = np.concatenate([g["owner"], g["hubs"]])
+    seen = gold > 0
     local[seen] = -1e3
-    local[seen, g["gold"][seen]] = 0.0
+    local[seen, gold[seen]] = 0.0
     local = np.exp(local - local.max(1, keepdims=True))
-    edges = [(g[k], np.exp(model[k] - model[k].max())) for k in ("chain", "skip")]
-    ahead = [np.full((len(e), LABELS), 1 / LABELS) for e, _ in edges]
-    back = [m.copy() for m in ahead]
-    for _ in range(ROUNDS):
+    pairs = {"chain": g["chain"], "skip": np.stack([g["skip"][:, 0] + nodes, g["skip"][:, 1]], 1)}
+    tables = {k: np.exp(model[k] - model[k].max()) for k in pairs}
+    limit = 100 + 4 * np.bincount(text, minlength=1)
+    out = np.empty_like(local)
+    live = np.arange(len(local))
+    ahead = {k: np.full((len(e), LABELS), 1 / LABELS) for k, e in pairs.items()}
+    back = {k: m.copy() for k, m in ahead.items()}
+    turn = 0
+    while len(live):
         log = np.zeros_like(local)
-        for (e, _), f, b in zip(edges, ahead, back, strict=True):
-            np.add.at(log, e[:, 1], np.log(f + 1e-30))
-            np.add.at(log, e[:, 0], np.log(b + 1e-30))
+        for k, e in pairs.items():
+            np.add.at(log, e[:, 1], np.log(ahead[k] + 1e-30))
+            np.add.at(log, e[:, 0], np.log(back[k] + 1e-30))
         belief = local * np.exp(log - log.max(1, keepdims=True))
-        for k, (e, table) in enumerate(edges):
+        out[live] = belief
+        change = np.zeros(len(limit))
+        for k, e in pairs.items():
             if len(e):
-                from_a = belief[e[:, 0]] / (back[k] + 1e-30)
-                from_b = belief[e[:, 1]] / (ahead[k] + 1e-30)
-                f, b = from_a @ table, from_b @ table.T
-                ahead[k] = 0.5 * ahead[k] + 0.5 * f / np.maximum(f.sum(1, keepdims=True), 1e-300)
-                back[k] = 0.5 * back[k] + 0.5 * b / np.maximum(b.sum(1, keepdims=True), 1e-300)
-    log = np.zeros_like(local)
-    for (e, _), f, b in zip(edges, ahead, back, strict=True):
-        np.add.at(log, e[:, 1], np.log(f + 1e-30))
-        np.add.at(log, e[:, 0], np.log(b + 1e-30))
-    belief = local * np.exp(log - log.max(1, keepdims=True))
-    return belief / np.maximum(belief.sum(1, keepdims=True), 1e-300)
+                f, b = (belief[e[:, 0]] / (back[k] + 1e-30)) @ tables[k], (belief[e[:, 1]] / (ahead[k] + 1e-30)) @ tables[k].T
+                f = 0.5 * ahead[k] + 0.5 * f / np.maximum(f.sum(1, keepdims=True), 1e-300)
+                b = 0.5 * back[k] + 0.5 * b / np.maximum(b.sum(1, keepdims=True), 1e-300)
+                moved = np.maximum(np.abs(f - ahead[k]).max(1), np.abs(b - back[k]).max(1))
+                np.maximum.at(change, text[e[:, 0]], moved)
+                ahead[k], back[k] = f, b
+        turn += 1
+        open_ = (change > SETTLED) & (turn <= limit)
+        stay = open_[text]
+        if not stay.all():
+            # Settled texts leave with their beliefs.
+            place = np.cumsum(stay) - 1
+            for k, e in pairs.items():
+                keep = stay[e[:, 0]]
+                pairs[k], ahead[k], back[k] = place[e[keep]], ahead[k][keep], back[k][keep]
+            live, local, text = live[stay], local[stay], text[stay]
+    out = out[:nodes]
+    return out / np.maximum(out.sum(1, keepdims=True), 1e-300)
 
 
 def more_spans(texts: list[str], spans: list[list[Span]], model: dict) -> list[list[Span]]:
@@ -240,9 +285,9 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", samp
     ``spans`` holds all of these and what the field adds, as kind:start:end in code
     points, by start and kind.  Whole texts are read.
 
-    The field's nodes are the words with a digit or ``@``.  Neighbouring nodes, and
-    repeated or similar ones at any distance, share potentials; pattern matches are
-    observed, and loopy message passing gives every other node its label.  A span
+    The field's nodes are the words with a digit or ``@``.  Neighbouring nodes share
+    potentials, and so do all repeated or similar ones of a text by way of one hub; pattern matches are
+    observed, and loopy message passing until nothing changes gives every other node its label.  A span
     is added at a probability of 0.95 or more.  Potentials are learnt from the pattern matches in
     at most ``sample`` texts that hold a digit or ``@``, chosen by a hash of the key.
 
