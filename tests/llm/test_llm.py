@@ -342,6 +342,21 @@ def test_toxicity(spark, nothing):
     assert toxicity.toxicity(nothing, marks).count() == 0
 
 
+@pytest.mark.parametrize("learn", ["toxicity", "pii"])
+def test_sample_is_fetched_in_parallel(spark, learn, monkeypatch):
+    docs = spark.range(0, 700, 1, 7).selectExpr("id as doc_id", "concat('mail a', id, '@b.de') as text")
+    marks = spark.range(0, 300, 1, 3).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    plans, real = [], type(docs).mapInArrow
+
+    def note(self, *args, **more):
+        plans.append(self._jdf.queryExecution().optimizedPlan().toString())
+        return real(self, *args, **more)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", note)
+    toxicity.toxicity(docs, marks) if learn == "toxicity" else pii.personal_data(docs)
+    assert "Repartition 1, true" in plans[0] and not any("Repartition 1, false" in p for p in plans)
+
+
 def test_pipeline_columns(spark, docs, tmp_path):
     import corpus_pipeline
 

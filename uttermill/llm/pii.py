@@ -304,7 +304,8 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", samp
         model = fit([t for _, t in rows])
         yield pa.RecordBatch.from_arrays([pa.array(list(model)), pa.array([m.reshape(-1).tolist() for m in model.values()])], ["name", "weights"])
 
-    learnt = picked.select("_rank", "_text").coalesce(1).mapInArrow(learn, "name string, weights array<double>").collect()
+    # A shuffle, so that documents are read in parallel and only chosen rows reach the one task.
+    learnt = picked.select("_rank", "_text").repartition(1).mapInArrow(learn, "name string, weights array<double>").collect()
     model = {r["name"]: np.array(r["weights"]).reshape(-1, LABELS) for r in learnt}
     model = model or {"node": np.zeros((FEATURES, LABELS)), "chain": np.zeros((LABELS, LABELS)), "skip": np.zeros((LABELS, LABELS))}
 

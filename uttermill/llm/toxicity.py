@@ -107,7 +107,9 @@ def train(docs: DataFrame, marked: DataFrame, sample: int = SAMPLE) -> tuple[np.
         used = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(w[used])], ["slot", "weight"])
 
-    learnt = chosen.coalesce(1).mapInArrow(fit, "slot long, weight double").toArrow()
+    # A shuffle, so that documents are read in parallel and only chosen rows reach the one task.
+    alone = chosen.repartition(1).sortWithinPartitions("rank", "label", "text")
+    learnt = alone.mapInArrow(fit, "slot long, weight double").toArrow()
     slot, weight = learnt["slot"].to_numpy(), learnt["weight"].to_numpy()
     bias = slot == 1 << BITS
     return slot[~bias], weight[~bias], float(weight[bias].sum())
