@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttermill.llm import (
-    class_model, exact_dedup, minhash, mixing, packing, pii, substrings, toxicity, url_filter, vector_graph,
+    class_model, exact_dedup, merkle, minhash, mixing, packing, pii, substrings, toxicity, url_filter, vector_graph,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,79 @@ def op4_vector_graph(spark, sf):
 def op9_personal_data(spark, sf):
     out = pii.personal_data(_table(spark, sf, "documents"))
     return out.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+MANIFEST = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query
+def op12_merkle(spark, sf):
+    docs = _table(spark, sf, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    later = merkle.leaf_digest([F.col("n_chars") + 1 if c == "n_chars" else c for c in MANIFEST])
+    rows = docs.select(
+        "doc_id", "lang", merkle.leaf_digest(MANIFEST).alias("leaf"),
+        F.when(tampered & F.col("n_chars").isNotNull(), later).alias("now"),
+    )
+    manifest = merkle.build(rows, "lang", "doc_id", "leaf", ["now"])
+    proven = merkle.prove(manifest)
+    siblings = F.concat_ws("", F.transform("path", lambda s: s["digest"]))
+    folded = proven.withColumn("folded_root", merkle.fold(F.coalesce("now", "digest")))
+    return folded.select(
+        "doc_id", F.col("digest").alias("leaf"), "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+# CRC-32 of an ASCII string: a table from the polynomial, then one step a byte.
+_CRC_TABLE = (
+    "[list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) "
+    "FOR i IN range(256)]"
+)
+
+
+def _field(c: str) -> str:
+    return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+
+_LEAF = " || ".join(_field(c) for c in MANIFEST)
+ORACLE["op12_merkle"] = f"""
+WITH RECURSIVE t AS (SELECT {_CRC_TABLE} AS crc),
+d AS (
+  SELECT doc_id, lang, sha256({_LEAF}) AS leaf, sha256({_LEAF.replace("n_chars", "(n_chars + 1)")}) AS later,
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+      lambda c, b: xor(c >> 8, t.crc[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+  FROM documents, t),
+numbered AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+low AS (
+  SELECT tree, 0 AS level, pos, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM numbered
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 1) // 2
+  FROM low WHERE n > 1 GROUP BY tree, level, pos // 2),
+subroots AS (SELECT tree, h AS subroot FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS level, tree AS pos, subroot AS h, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 1) // 2 FROM high WHERE n > 1 GROUP BY level, pos // 2),
+step AS (
+  SELECT x.doc_id, x.lang, x.leaf, x.tree, x.pos, l.level AS k, coalesce(s.h, '') AS sib, (x.pos >> l.level) % 2 = 1 AS lefty
+  FROM numbered x JOIN (SELECT DISTINCT tree, level FROM low WHERE n > 1) l ON l.tree = x.tree
+  LEFT JOIN low s ON s.tree = x.tree AND s.level = l.level AND s.pos = xor(x.pos >> l.level, 1)
+  UNION ALL
+  SELECT x.doc_id, x.lang, x.leaf, x.tree, x.pos, 1000 + l.level, coalesce(s.h, ''), (x.tree >> l.level) % 2 = 1
+  FROM numbered x CROSS JOIN (SELECT DISTINCT level FROM high WHERE n > 1) l
+  LEFT JOIN high s ON s.level = l.level AND s.pos = xor(x.tree >> l.level, 1)),
+paths AS (SELECT tree, pos, list({{'sib': sib, 'lefty': lefty}} ORDER BY k) AS path FROM step GROUP BY tree, pos),
+proof AS (
+  SELECT x.*, subroot, (SELECT h FROM high WHERE n = 1) AS root, coalesce(path, []) AS path,
+    CASE WHEN crc % 7 = 0 THEN later ELSE leaf END AS now
+  FROM numbered x
+  JOIN subroots USING (tree) LEFT JOIN paths USING (tree, pos)),
+folded AS (
+  SELECT *, list_reduce(list_prepend(now, [(CASE WHEN s.lefty THEN 'L' ELSE 'R' END) || s.sib FOR s IN path]),
+    lambda a, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || a ELSE a || s[2:] END)) AS folded_root FROM proof)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string([s.sib FOR s IN path], '')) AS proof_sha256, folded_root,
+  folded_root = root AS verified FROM folded
+"""
