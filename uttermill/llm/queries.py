@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttermill.llm import (
-    class_model, exact_dedup, merkle, minhash, mixing, packing, pii, substrings, toxicity, url_filter, vector_graph,
+    class_model, exact_dedup, merkle, minhash, mixing, packing, pii, spelling, substrings, toxicity, url_filter, vector_graph,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,3 +165,51 @@ folded AS (
 SELECT doc_id, leaf, subroot, root, sha256(array_to_string([s.sib FOR s IN path], '')) AS proof_sha256, folded_root,
   folded_root = root AS verified FROM folded
 """
+
+
+RUNS = r"[A-Za-zÀ-ÿ]+"
+
+
+@query
+def op13_spelling(spark, sf):
+    def damaged(run):
+        """One run in 97 of a document loses a code point."""
+        h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), run))
+        cut = (h % F.length(run)).cast("int")
+        shorter = F.concat(F.substr(run, F.lit(1), cut), F.substr(run, cut + 2, F.length(run)))
+        return F.when(h % 97 == 0, shorter).otherwise(run)
+
+    docs = _table(spark, sf, "documents")
+    words = docs.select("doc_id", F.explode(spelling.runs("text", RUNS)).alias("run")).select(F.array(damaged(F.col("run"))).alias("word"))
+    return spelling.variants(spelling.vocabulary(words, F.col("word")))
+
+
+ORACLE["op13_spelling"] = f"""
+WITH RECURSIVE t AS (SELECT {_CRC_TABLE} AS crc),
+occurrences AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-zA-ZÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS k, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM occurrences GROUP BY ALL),
+summed AS (
+  SELECT run, k, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    [CAST((instr('0123456789ABCDEF', x[2 * i + 1]) - 1) * 16 + instr('0123456789ABCDEF', x[2 * i + 2]) - 1 AS BIGINT) FOR i IN range(strlen(x) // 2)]),
+    lambda c, b: xor(c >> 8, t.crc[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM counted, t),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, sum(k) AS n
+  FROM summed GROUP BY 1 HAVING length(word) >= 5 AND sum(k) >= 3),
+cuts AS (SELECT word, n, unnest(range(length(word))) AS i FROM words),
+holes AS (SELECT word, n, left(word, i) || '*' || substr(word, i + 2) AS p, left(word, i) || substr(word, i + 2) AS d FROM cuts),
+links AS (
+  SELECT a.word AS x, b.word AS y, b.n AS m FROM holes a JOIN holes b USING (p) WHERE a.word <> b.word
+  UNION SELECT w.word, d.word, d.n FROM words w JOIN holes d ON d.d = w.word
+  UNION SELECT d.word, w.word, w.n FROM words w JOIN holes d ON d.d = w.word),
+best AS (SELECT x, count(*) AS n_near, min({{'l': -m, 'y': encode(y)}}) AS b FROM links GROUP BY x),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.l >= 2 * n THEN decode(b.y) END AS form, CASE WHEN -b.l >= 2 * n THEN -b.l END AS form_n
+  FROM words LEFT JOIN best ON x = word),
+walk AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = walk.root WHERE forms.form IS NOT NULL),
+ends AS (SELECT walk.word, root FROM walk JOIN forms ON forms.word = root WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
