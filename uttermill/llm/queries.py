@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttermill.llm import (
-    class_model, exact_dedup, merkle, minhash, mixing, packing, pii, spelling, substrings, toxicity, url_filter, vector_graph,
+    chat, class_model, exact_dedup, merkle, minhash, mixing, packing, pii, spelling, substrings, toxicity, url_filter, vector_graph,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,3 +213,50 @@ walk AS (
 ends AS (SELECT walk.word, root FROM walk JOIN forms ON forms.word = root WHERE forms.form IS NULL)
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
 """
+
+
+@query
+def op11_chat(spark, sf):
+    same = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"), F.lit(same).alias("text"),
+    )
+    out = chat.format_conversations(_table(spark, sf, "conversations").unionByName(extra))
+    read = out.select("*", chat.read_turns().alias("turns"), F.concat_ws("", chat.read_loss()).alias("loss"))
+    lines = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"), F.size(F.flatten("attachments")).cast("bigint").alias("n_attachments"),
+        "expanded_tokens",
+    )
+
+
+def _shown(c: str) -> str:
+    """Length of a text in the template: embeds become as many characters as their placeholders have."""
+    out = f"coalesce({c}, '')"
+    for kind, endings in chat.ENDINGS.items():
+        mark = "#" * len(chat.placeholder(kind))
+        out = rf"regexp_replace({out}, '(?i)!\[[^\]]*\]\([^()\s]+\.(?:{endings})\)', '{mark}', 'g')"
+    return rf"length(regexp_replace({out}, '([<\[])(\\*{chat.TAIL})', '\1\\\2', 'g'))"
+
+
+def _embeds(endings: str) -> str:
+    return rf"len(regexp_extract_all(coalesce(text, ''), '(?i)!\[[^\]]*\]\([^()\s]+\.(?:{endings})\)'))"
+
+
+ORACLE["op11_chat"] = f"""
+WITH m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+c AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS lines,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum({_shown("role")} + {_shown("text")} + {len(chat.START + chat.MESSAGE + chat.STOP)}) + {len(chat.BEGIN + chat.END)} AS formatted_chars,
+    sum({" + ".join(_embeds(e) for e in chat.ENDINGS.values())}) AS n_attachments,
+    sum({_embeds(chat.ENDINGS["image"])} + 13 * {_embeds(chat.ENDINGS["audio"])} + 512 * {_embeds(chat.ENDINGS["document"])}) AS expanded_tokens
+  FROM m GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars,
+  n_attachments, expanded_tokens FROM c
+"""
