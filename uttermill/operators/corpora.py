@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttermill.functions.hashing import hash_uniform, key_hash
+from uttermill.operators.layout import interleave_weighted
 from uttermill.operators.ordering import row_index
 from uttermill.sources.readers import load_corpus
 
@@ -73,6 +74,27 @@ def combine(
     )
 
 
+def combine_sampled(
+    spark: SparkSession, root: str, specs: Sequence[CorpusSpec], key: str, text: str = "sentence", seed: int = 0, stop: str = "first"
+) -> DataFrame:
+    """Read every spec and interleave them in proportion to their stated ``samples``.
+
+    A spec without a count weighs 1.  ``source`` is the place of the spec in the list, so a
+    corpus may be named twice; inside a spec the rows go in the order of a hash of the
+    seed and ``key``, which has to be unique in it.  Only keys are ranked; the rows
+    meet their positions in one join.
+    """
+    parts = [
+        load_corpus(spark, root, s.name, s.config, s.split).withColumnRenamed(s.text_col, text).withColumn("source", F.lit(str(i)))
+        for i, s in enumerate(specs)
+    ]
+    rows = concat(parts)
+    weights = {str(i): s.samples or 1 for i, s in enumerate(specs)}
+    keys = rows.select("source", key, key_hash(seed, F.col("source"), F.col(key)).alias("_h"))
+    placed = interleave_weighted(keys, "source", weights, ["_h", key], stop).drop("_h")
+    return rows.join(placed, ["source", key]).withColumn("source", F.col("source").cast("int"))
+
+
 def sampling_fractions(specs: Sequence[CorpusSpec]) -> dict[str, float]:
     """Share of each corpus, from its stated sample count."""
     counts = {s.name: float(s.samples or 1) for s in specs}
@@ -113,8 +135,10 @@ def mix_weighted(
     # One row per named corpus reaches the driver.
     sizes = {r[0]: r[1] for r in ranked.groupBy(corpus).count().collect()}
     size = min(int(sizes.get(c, 0) / (w / total) + 1e-9) for c, w in weights.items() if w > 0)
-    taken = ranked.where(F.col("_rank") < F.floor(F.lit(size) * share + 1e-9)).select(F.col(key).alias("_key"))
-    return df.join(taken, F.col(key) == F.col("_key"), "left_semi")
+    taken = ranked.where(F.col("_rank") < F.floor(F.lit(size) * share + 1e-9))
+    taken = taken.select(F.col(corpus).alias("_corpus"), F.col(key).alias("_key"))
+    # A key may occur in other corpora too.
+    return df.join(taken, (F.col(corpus) == F.col("_corpus")) & F.col(key).eqNullSafe(F.col("_key")), "left_semi")
 
 
 def replicate(df: DataFrame, k: int, name: str = "replica") -> DataFrame:

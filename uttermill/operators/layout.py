@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -75,6 +77,81 @@ def interleave(
     )
 
 
+#: Repeats of a row that one task writes when a short source is cycled.
+CYCLES = 4096
+
+
+def _units(weights: Mapping[str, float | str]) -> dict[str, int]:
+    """Virtual time between two picks of each source, as exact whole numbers."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    if not exact or min(exact.values()) <= 0:
+        raise ValueError("every source needs a weight above 0")
+    scale = math.lcm(*[w.denominator for w in exact.values()])
+    whole = {s: int(w * scale) for s, w in exact.items()}
+    common = math.lcm(*whole.values())
+    return {s: common // w for s, w in whole.items()}
+
+
+def interleave_weighted(
+    df: DataFrame, source: str, weights: Mapping[str, float | str], order_by: Sequence[str | Column], stop: str = "first"
+) -> DataFrame:
+    """Interleave the named sources so that at any place each has given its share.
+
+    The pick number ``k`` (from 0) of a source is due at the virtual time
+    (k + 1) / weight; picks go by that time, then in the order of ``weights``.  With
+    ``stop="first"`` the result ends with the last row of the source that runs out
+    first, with ``stop="all"`` it ends when every source has run out once, shorter
+    ones starting again.  ``position`` is the place, ``cycle`` the repeat of the row.
+
+    Weights are read as decimal fractions and times are whole numbers, so there is no
+    rounding.  How many picks of each source come before a given time follows from
+    the time alone: the position needs the rank of a row in its own source and no
+    common sort.  A source without rows ends the result at once (``first``) or is
+    left out (``all``).  Pass keys, not wide rows.
+    """
+    if stop not in ("first", "all"):
+        raise ValueError(f"stop is first or all, not {stop}")
+    names, units = list(weights), _units(weights)
+    ranked = row_index(df.where(F.col(source).isin(names)), order_by, [source], "_turn")
+    # One row per named source reaches the driver.
+    sizes = {r[0]: r[1] for r in ranked.groupBy(source).count().collect()}
+    ends = [(sizes.get(s, 0) * units[s], i) for i, s in enumerate(names) if stop == "first" or sizes.get(s, 0)]
+    last, at = (min if stop == "first" else max)(ends, default=(0, 0))
+    if last >= 1 << 62:
+        raise ValueError("weights too fine for sources of this size")
+    # Picks of a source up to the end: those of a later source at the very end do not come any more.
+    picks = {s: (last - (i > at)) // units[s] for i, s in enumerate(names)}
+
+    def of_source(value: Mapping[str, int]) -> Column:
+        out = F.lit(None).cast("bigint")
+        for s in names:
+            out = F.when(F.col(source) == s, F.lit(value[s]).cast("bigint")).otherwise(out)
+        return out
+
+    rows = ranked.withColumn("_size", of_source({s: sizes.get(s, 0) for s in names})).withColumn("_picks", of_source(picks))
+    rows = rows.withColumn("_left", F.col("_picks") - F.col("_turn")).where("_left > 0")
+    cycles = F.floor((F.col("_left") - 1) / F.col("_size"))
+    most = max(((picks[s] - 1) // n for s, n in sizes.items()), default=0)
+    if most > CYCLES:
+        # A few rows make very many: deal runs of repeats out to all tasks.
+        rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.floor(cycles / CYCLES))).alias("_run")).repartition(source, "_turn", "_run")
+        first = F.col("_run") * CYCLES
+        rows = rows.withColumn("cycle", F.explode(F.sequence(first, F.least(cycles, first + CYCLES - 1)))).drop("_run")
+    elif most > 0:
+        rows = rows.withColumn("cycle", F.explode(F.sequence(F.lit(0).cast("bigint"), cycles)))
+    else:
+        rows = rows.withColumn("cycle", F.lit(0).cast("bigint"))
+    rows = rows.withColumn("_due", (F.col("cycle") * F.col("_size") + F.col("_turn") + 1) * of_source(units))
+    order = of_source({s: i for i, s in enumerate(names)})
+    # For each source: its picks due before this one.  Equal times go in source order.
+    before = F.lit(0).cast("bigint")
+    for i, s in enumerate(names):
+        if sizes.get(s, 0):
+            early = F.col("_due") - F.when(order > i, F.lit(0)).otherwise(F.lit(1))
+            before = before + F.call_function("div", early, F.lit(units[s]).cast("bigint"))
+    return rows.select(*df.columns, "cycle", before.alias("position"))
+
+
 def assemble_batches(
     df: DataFrame, pos: str, labels: str, batch_size: int, pad_id: int = A.IGNORED,
     max_length: int | None = None, bos_id: int | None = None, by: Sequence[str] = (),

@@ -511,6 +511,27 @@ def combine_corpora(spark, sf):
     )
 
 
+@query
+def combine_sampled(spark, sf):
+    """The same corpus table; counts per entry set the shares, one corpus is named twice."""
+    root = scratch_path(spark, "sampled")
+    docs = S.table(spark, sf, "documents").select(
+        F.col("source").alias("corpus"), F.col("lang").alias("config"), F.lit("train").alias("split"),
+        F.col("doc_id").cast("string").alias("utt_id"), "text",
+    )
+    writers.save(docs, root, ["corpus", "config", "split"])
+    specs = corpora.parse_specs("src0+src1+src0", "en+en+fr", samples="120+60+20")
+    out = corpora.combine_sampled(spark, root, specs, "utt_id", seed=3)
+    return out.select(F.col("source").cast("bigint").alias("source"), "utt_id", "position", F.md5("sentence").alias("digest"))
+
+
+@query
+def mix_weighted_shared_keys(spark, sf):
+    """Three corpora that number their rows alike; the third is not asked for."""
+    docs = S.table(spark, sf, "documents").select("doc_id", F.explode(F.array(*[F.lit(c) for c in "abc"])).alias("corpus"))
+    return corpora.mix_weighted(docs, {"a": 0.3, "b": 0.7}, "doc_id", seed=7)
+
+
 @query
 def mix_corpora(spark, sf):
     shares = {"en": 0.25, "fr": 0.5, "de": 0.75, "es": 1.0}
@@ -610,6 +631,17 @@ def interleave_splits(spark, sf):
     return layout.interleave(keys, "split", ["en", "de", "fr", "es"], ["utt_id"])
 
 
+@query
+def interleave_weighted(spark, sf):
+    """Shares of four languages, up to the first end and up to the last."""
+    keys = S.utterances(spark, sf).select("utt_id", "split")
+    weights = {"en": "0.5", "de": "0.25", "fr": "0.2", "es": "0.05"}
+    parts = [
+        layout.interleave_weighted(keys, "split", weights, ["utt_id"], stop).withColumn("stop", F.lit(stop)) for stop in ("first", "all")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def assemble_batches(spark, sf):
     turns = S.table(spark, sf, "conversations")

@@ -345,6 +345,27 @@ ORACLE: dict[str, str] = {
             row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS turn FROM documents)
         SELECT utt_id, split, turn * 4 + CASE split WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 ELSE 3 END AS position
         FROM r WHERE turn < (SELECT min(n) FROM (SELECT count(*) AS n FROM r GROUP BY split) c)""",
+    "interleave_weighted": """
+        WITH w AS (SELECT * FROM (VALUES ('en', 0, 2), ('de', 1, 4), ('fr', 2, 5), ('es', 3, 20)) v(split, o, unit)),
+        r AS (SELECT doc_id AS utt_id, split, o, unit, count(*) OVER (PARTITION BY split) AS n,
+            row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS turn FROM documents JOIN w ON lang = split),
+        e AS (SELECT 'first' AS stop, min((n * unit, o)) AS last FROM r UNION ALL SELECT 'all', max((n * unit, o)) FROM r),
+        p AS (SELECT *, unnest(range(CASE stop WHEN 'first' THEN 1 ELSE (SELECT max(n * unit) FROM r) // (n * unit) + 1 END)) AS cycle FROM r, e),
+        d AS (SELECT *, ((cycle * n + turn + 1) * unit, o) AS due FROM p)
+        SELECT utt_id, split, cycle, stop, row_number() OVER (PARTITION BY stop ORDER BY due) - 1 AS position FROM d WHERE due <= last""",
+    "combine_sampled": """
+        WITH w AS (SELECT * FROM (VALUES (0, 'src0', 'en', 1), (1, 'src1', 'en', 2), (2, 'src0', 'fr', 6)) v(src, s, l, unit)),
+        r AS (SELECT src, doc_id::VARCHAR AS utt_id, text, unit, count(*) OVER (PARTITION BY src) AS n,
+            row_number() OVER (PARTITION BY src ORDER BY md5('3:' || src || ':' || doc_id), doc_id::VARCHAR) AS turn
+            FROM documents JOIN w ON source = s AND lang = l),
+        e AS (SELECT min((n * unit, src)) AS last FROM r),
+        d AS (SELECT *, (turn * unit, src) AS due FROM r)
+        SELECT src AS source, utt_id, row_number() OVER (ORDER BY due) - 1 AS position, md5(text) AS digest FROM d, e WHERE due <= last""",
+    "mix_weighted_shared_keys": """WITH k AS (SELECT doc_id, corpus, share, row_number() OVER (PARTITION BY corpus
+            ORDER BY md5('7:' || doc_id), doc_id) - 1 AS rank
+            FROM documents, (VALUES ('a', 0.3::DOUBLE), ('b', 0.7::DOUBLE)) v(corpus, share)),
+        t AS (SELECT min(floor(n / share + 1e-9)) AS size FROM (SELECT count(*) AS n, share FROM k GROUP BY share) c)
+        SELECT doc_id, corpus FROM k, t WHERE rank < floor(size * share + 1e-9)""",
     "assemble_batches": f"""
         WITH t AS (SELECT row_number() OVER (ORDER BY role, conv_id, turn) - 1 AS row_idx,
             CASE WHEN role = 'system' THEN [] ELSE [1] END ||
