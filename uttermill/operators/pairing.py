@@ -133,6 +133,21 @@ def attach_positional(
     return left.join(right, "row_idx")
 
 
+def zip_numbered(left: DataFrame, right: DataFrame, name: str = "row_idx") -> DataFrame:
+    """Zip two tables that carry dense row numbers, such as saved ones.
+
+    Unequal row counts would shift every later pair, so a row without a partner
+    fails the job; the check is part of the join and needs no count beforehand.
+    """
+    one = left.withColumnRenamed(name, "_l").withColumn("_one", F.lit(True))
+    two = right.withColumnRenamed(name, "_r").withColumn("_two", F.lit(True))
+    both = one.join(two, F.col("_l") == F.col("_r"), "full")
+    failed = F.raise_error(F.concat(F.lit("row counts differ: no partner for row "), F.coalesce("_l", "_r").cast("string")))
+    whole = F.when(F.col("_one") & F.col("_two"), F.lit(True)).otherwise(failed.cast("boolean"))
+    names = [c for c in left.columns if c != name] + [c for c in right.columns if c != name]
+    return both.where(whole).select(F.col("_l").alias(name), *names)
+
+
 def lookup(map_col: Column | str, key: Column | str, default: str = "") -> Column:
     """Map lookup with a default for absent keys."""
     m = F.col(map_col) if isinstance(map_col, str) else map_col

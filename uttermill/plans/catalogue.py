@@ -819,6 +819,31 @@ def roundtrip_io(spark, sf):
     return kept.join(again.withColumnRenamed("transcript", "cached"), "file_id")
 
 
+def _saved_in_order(spark, sf, name: str) -> str:
+    """Keys of all documents, saved in a stated order in files of few rows."""
+    path = scratch_path(spark, name)
+    docs = S.table(spark, sf, "documents").select("doc_id", "source", "n_chars").orderBy("source", F.desc("doc_id"))
+    docs.write.option("maxRecordsPerFile", 70).parquet(path)
+    return path
+
+
+@query
+def row_index_saved(spark, sf):
+    numbered = readers.load_numbered(spark, _saved_in_order(spark, sf, "numbered"))
+    return numbered.select("row_idx", "doc_id")
+
+
+@query
+def attach_saved(spark, sf):
+    """Predictions by row number: both tables were saved in one order, in files of different sizes."""
+    path = _saved_in_order(spark, sf, "rows")
+    other = scratch_path(spark, "predictions")
+    values = readers.load_numbered(spark, path).orderBy("row_idx").select((F.col("n_chars") * 2).alias("value"))
+    values.write.option("maxRecordsPerFile", 33).parquet(other)
+    rows = readers.load_numbered(spark, path).select("row_idx", "doc_id")
+    return pairing.zip_numbered(rows, readers.load_numbered(spark, other))
+
+
 @query
 def transcript_files(spark, sf):
     base = scratch_path(spark, "texts")

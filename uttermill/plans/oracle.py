@@ -412,6 +412,9 @@ ORACLE: dict[str, str] = {
     "stream_resume": f"SELECT doc_id, length(text) AS n_chars FROM documents WHERE length({_strip('text')}) > 3",
     "stream_snapshot": "SELECT event_id::VARCHAR AS file_id, event_type AS transcript FROM events",
     "roundtrip_io": f"SELECT file_id, ref AS transcript, ref AS cached FROM ({_SPOKEN}) s",
+    "row_index_saved": "SELECT row_number() OVER (ORDER BY source, doc_id DESC) - 1 AS row_idx, doc_id FROM documents",
+    "attach_saved": """SELECT row_number() OVER (ORDER BY source, doc_id DESC) - 1 AS row_idx, doc_id, n_chars * 2 AS value
+        FROM documents""",
     "transcript_files": """SELECT item_id, strlen(text) + 1 AS length, text,
         row_number() OVER (ORDER BY item_id::VARCHAR || '/') - 1 AS place FROM benchmark""",
     "annotation_files": "SELECT item_id, text AS sentence FROM benchmark",

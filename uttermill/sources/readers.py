@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uttermill import schema as S
+from uttermill.session import small_side
 
 
 def _json_map(spark: SparkSession, path: str | list[str], value_type: str) -> DataFrame:
@@ -82,6 +84,39 @@ def load(spark: SparkSession, path: str | list[str], schema: T.StructType | None
     return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
+def _file_place(path: Column) -> list[Column]:
+    """Sort keys that put the files of a saved table in the order they were written.
+
+    Spark numbers the files of a write by task and then by file; without such a
+    name the path decides.  Numbers go by value: part-100000 follows part-99999.
+    """
+    name = F.substring_index(path, "/", -1)
+    folder = F.substr(path, F.lit(1), F.length(path) - F.length(name))
+    task = F.regexp_extract(name, r"^part-([0-9]+)", 1).try_cast("bigint")
+    number = F.regexp_extract(name, r"-c([0-9]+)(?:\.|$)", 1).try_cast("bigint")
+    return [folder, task, number, name]
+
+
+def load_numbered(spark: SparkSession, path: str | list[str], name: str = "row_idx") -> DataFrame:
+    """A saved Parquet table with the 0-based number of each row in the saved order.
+
+    A Parquet row knows its place in its file, so one number per file is all that is
+    missing: rows are counted by file (no column is read), the counts summed up in
+    file order and joined back.  Nothing is sorted, and the only exchange holds one row per
+    file.  Any filter above keeps the numbers, as they are places in the files.
+    """
+    df = load(spark, path)
+    place, at = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    files = df.select(place.alias("_file"), at.alias("_at")).groupBy("_file").agg((F.max("_at") + 1).alias("_n"))
+    files = files.select("_file", "_n", *[c.alias(f"_k{i}") for i, c in enumerate(_file_place(F.col("_file")))])
+    # One row per file, which the listing of the table holds already.
+    before = W.orderBy("_k0", "_k1", "_k2", "_k3").rowsBetween(W.unboundedPreceding, -1)
+    starts = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    rows = df.select("*", place.alias("_path"), at.alias("_at"))
+    joined = rows.join(small_side(starts), F.col("_path") == F.col("_file"))
+    return joined.select(*df.columns, (F.col("_start") + F.col("_at")).alias(name))
+
+
 def scan_predictions(spark: SparkSession, path: str | list[str], skip_first: bool = False) -> DataFrame:
     """Prediction CSV with a header, quoted fields may span lines.
 
