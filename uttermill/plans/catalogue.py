@@ -8,13 +8,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from uttermill import schema
 from uttermill.functions import arrays as A
 from uttermill.functions import text as X
 from uttermill.operators import augment, corpora, evaluation, layout, ordering, pairing, quality, scoring, vocab
 from uttermill.plans import lifecycles
 from uttermill.plans import standins as S
 from uttermill.session import scratch_path
-from uttermill.sources import readers, writers
+from uttermill.sources import readers, splitscan, writers
 from uttermill.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -870,6 +871,49 @@ def annotation_files(spark, sf):
     return readers.scan_json_map(spark, f"{base}/*").select(F.col("key").cast("bigint").alias("item_id"), "sentence")
 
 
+def _sayings(spark, sf) -> DataFrame:
+    """Turns with line feeds, quotation marks and commas in their texts."""
+    text = F.regexp_replace(F.replace("ref", F.lit("th"), F.lit('"th",')), "([.?])", '$1\n\n""')
+    return S.spoken(spark, sf).select("file_id", "role", text.alias("transcript"))
+
+
+@query
+def csv_splits(spark, sf):
+    """Prediction files whose fields span lines, read by ranges of bytes."""
+    base = scratch_path(spark, "csv")
+    writers.write_predictions(_sayings(spark, sf), base)
+    return splitscan.read_csv(spark, base, schema.PREDICTION).select("file_id", F.md5("transcript").alias("digest"))
+
+
+@query
+def csv_skip_first(spark, sf):
+    """A file per role without its first data row, by the reader of ranges and by the one of whole files."""
+    base = scratch_path(spark, "roles")
+    rows = _sayings(spark, sf).repartition("role").sortWithinPartitions("role", "file_id")
+    rows.write.partitionBy("role").option("header", True).option("escape", '"').option("quoteAll", True).csv(base)
+    parts = [
+        splitscan.read_csv(spark, f"{base}/*", schema.PREDICTION, skip_first=True).select("file_id", F.lit("ranges").alias("reader")),
+        readers.scan_predictions(spark, f"{base}/*", skip_first=True).select("file_id", F.lit("files").alias("reader")),
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def json_splits(spark, sf):
+    """A JSON object per source with a line for every document, read by ranges of bytes."""
+    base = scratch_path(spark, "objects")
+    docs = S.table(spark, sf, "documents")
+    entry = F.concat(F.lit(", "), F.regexp_replace(F.to_json(F.create_map(F.col("doc_id").cast("string"), F.col("text"))), r"^\{|\}$", ""))
+    lines = docs.select("source", F.lit(1).alias("part"), entry.alias("value"))
+    ends = docs.select("source").distinct().select("source", F.explode(F.array(
+        F.struct(F.lit(0).alias("part"), F.lit('{"none": [1, {"a": "}"}]').alias("value")), F.struct(F.lit(2).alias("part"), F.lit("}").alias("value")),
+    )).alias("end")).select("source", "end.*")
+    whole = lines.unionByName(ends).repartition("source").sortWithinPartitions("source", "part")
+    whole.select("source", "value").write.partitionBy("source").text(base)
+    read = splitscan.read_json_map(spark, f"{base}/*").where(F.col("key") != "none")
+    return read.select(F.col("key").cast("bigint").alias("doc_id"), F.md5("value").alias("digest"))
+
+
 @query
 def vocab_file(spark, sf):
     path = scratch_path(spark, "vocab")

@@ -418,6 +418,11 @@ ORACLE: dict[str, str] = {
     "transcript_files": """SELECT item_id, strlen(text) + 1 AS length, text,
         row_number() OVER (ORDER BY item_id::VARCHAR || '/') - 1 AS place FROM benchmark""",
     "annotation_files": "SELECT item_id, text AS sentence FROM benchmark",
+    "csv_splits": f"""SELECT file_id, md5(regexp_replace(replace(ref, 'th', '"th",'), '([.?])', '\\1' || chr(10) || chr(10) || '""', 'g')) AS digest
+        FROM ({_SPOKEN}) s""",
+    "csv_skip_first": f"""SELECT file_id, reader FROM ({_SPOKEN}) s, (VALUES ('ranges'), ('files')) v(reader)
+        WHERE file_id > (SELECT min(file_id) FROM ({_SPOKEN}) o WHERE o.role = s.role)""",
+    "json_splits": "SELECT doc_id, md5(text) AS digest FROM documents",
     "vocab_file": f"WITH {_VOCAB} SELECT ch, CAST(id AS BIGINT) AS id FROM vocab",
     "report_files": f"""
         WITH r AS (SELECT * FROM ({_REPORT}) z WHERE length(norm_target) > 0)

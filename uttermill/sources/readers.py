@@ -21,7 +21,10 @@ def _json_map(spark: SparkSession, path: str | list[str], value_type: str) -> Da
 
 
 def scan_json_map(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A JSON object ``{key: sentence}`` per file, as (key, sentence) rows."""
+    """A JSON object ``{key: sentence}`` per file, as (key, sentence) rows.
+
+    A file is one row of one task; ``splitscan.read_json_map`` reads large ones in parallel.
+    """
     return _json_map(spark, path, "string").withColumnRenamed("value", "sentence")
 
 
@@ -121,7 +124,8 @@ def scan_predictions(spark: SparkSession, path: str | list[str], skip_first: boo
     """Prediction CSV with a header, quoted fields may span lines.
 
     ``skip_first`` leaves out the first data row of every file, as an older
-    reader did; the default keeps it.
+    reader did; the default keeps it.  A file is read by one task; ``splitscan.read_csv``
+    reads large ones in parallel.
     """
     df = (
         spark.read.schema(S.PREDICTION)
