@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from uttermill.streaming import versions
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -30,82 +31,60 @@ def stream_to_table(
     query.awaitTermination()
 
 
-def _publish(spark: SparkSession, path: str, upto: int) -> None:
-    """Name ``upto`` as the last batch of the snapshot.
-
-    Two slots are written in turn, so the version before stays readable while
-    a new one is written, and the folder does not grow.
-    """
-    row = spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
-    row.write.mode("overwrite").parquet(f"{path}/versions/slot={upto % 2}")
+def _run(stream: DataFrame, mode: str, checkpoint: str, on_batch: Callable[[DataFrame, int], None]) -> None:
+    query = (
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(on_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
 
 
 def stream_snapshot(stream: DataFrame, path: str, checkpoint: str, every: int = 1) -> None:
-    """Append each micro-batch to a log; publish a snapshot every ``every`` batches and at the end.
+    """Append each micro-batch to a log; publish a version every ``every`` batches and at the end.
 
-    Each batch lands in a folder of its own number, so that a batch replayed
-    after a failure replaces itself.  A snapshot is the log up to a published
-    batch: no row is written twice, and readers see a whole version or the one before.
-    A stream without any batch publishes nothing.
+    A replayed batch changes nothing, and readers see a whole version or the
+    one before.  Small batches are merged as the log grows (:mod:`versions`).
+    A path belongs to one checkpoint; a stream without any batch publishes nothing.
     """
-    log = f"{path}/log"
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+        versions.append(batch, path, batch_id)
         if batch_id > 0 and batch_id % every == 0:
-            _publish(batch.sparkSession, path, batch_id)
+            versions.publish(batch.sparkSession, path, upto=batch_id)
 
-    query = (
-        stream.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    try:
-        last = stream.sparkSession.read.parquet(log).agg(F.max("batch_id")).first()[0]
-    except AnalysisException as err:
-        if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        last = None
-    if last is not None:
-        _publish(stream.sparkSession, path, last)
+    _run(stream, "append", checkpoint, on_batch)
+    versions.publish(stream.sparkSession, path)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the newest published snapshot; later batches are pruned by folder."""
-    upto = spark.read.parquet(f"{path}/versions").agg(F.max("upto")).first()[0]
-    return spark.read.parquet(f"{path}/log").where(F.col("batch_id") <= upto).drop("batch_id")
+    """The rows of the newest published version."""
+    return versions.read(spark, path)
 
 
 def running_totals(
     stream: DataFrame, by: Sequence[str], sums: dict[str, Column], path: str, checkpoint: str
 ) -> None:
-    """Grouped sums kept as streaming state; each batch rewrites the totals table.
+    """Grouped sums kept as streaming state; each batch writes the totals of its changed groups.
 
-    State holds one row per group.  Two folders are written in turn: the newest
-    batch is the current result, the one before stays while it is written.
+    State holds one row per group.  A batch is a set of (key, value, batch number)
+    rows; the newest row of a key is its total.  A replayed batch changes nothing, and
+    merging batches keeps one row a key.
     """
     totals = stream.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_samples"), *[F.sum(c).alias(n) for n, c in sums.items()]
     )
+    rows = totals.select(F.struct(*by).alias("key"), F.struct("n_samples", *sums).alias("value"))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        numbered.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+        versions.append(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path, batch_id)
+        versions.publish(batch.sparkSession, path, versions.newest_per_key, batch_id)
 
-    query = (
-        totals.writeStream.outputMode("complete")
-        .foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _run(rows, "update", checkpoint, on_batch)
 
 
 def current_totals(spark: SparkSession, path: str) -> DataFrame:
     """The newest totals written by :func:`running_totals`."""
-    every = spark.read.parquet(path)
-    newest = every.agg(F.max("batch_id").alias("batch_id"))
-    return every.join(F.broadcast(newest), "batch_id").drop("batch_id", "slot")
+    return versions.newest_per_key(versions.read(spark, path)).select("key.*", "value.*")
