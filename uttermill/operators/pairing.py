@@ -76,6 +76,31 @@ def pair_fallback(
     )
 
 
+def with_pair_key(audio: DataFrame, swaps: Swaps, path: str = "path", name: str = "pair_key") -> DataFrame:
+    """The rewritten path as a column of its own, to be stored as the key of a bucketed table."""
+    return _with_key(audio, path, swaps, name)
+
+
+def pair_bucketed(audio: DataFrame, texts: DataFrame, key: str = "pair_key", missing: str = "skip") -> DataFrame:
+    """Pair two tables that are bucketed by ``key`` in equal numbers; neither side moves.
+
+    ``missing`` decides about recordings without a transcript: ``skip`` leaves them out,
+    ``keep`` keeps them with a null, ``only`` gives just them, ``fail`` fails the job.
+    """
+    side = texts.hint("merge")
+    if missing == "only":
+        return audio.join(side, key, "left_anti")
+    if missing == "skip":
+        return audio.join(side, key)
+    if missing not in ("keep", "fail"):
+        raise ValueError(f"missing is skip, keep, only or fail, not {missing}")
+    out = audio.join(side.withColumn("_hit", F.lit(True)), key, "left")
+    if missing == "fail":
+        failed = F.raise_error(F.concat(F.lit("no transcript for "), F.col(key)))
+        out = out.where(F.when(F.col("_hit"), F.lit(True)).otherwise(failed.cast("boolean")))
+    return out.drop("_hit")
+
+
 def having_partner(
     audio: DataFrame, texts: DataFrame, swaps: Swaps, path: str = "path", present: bool = True
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from uttermill import schema
 from uttermill.functions import arrays as A
 from uttermill.functions import text as X
-from uttermill.operators import augment, corpora, evaluation, layout, ordering, pairing, quality, scoring, vocab
+from uttermill.operators import augment, corpora, evaluation, layout, ordering, pairing, quality, resume, scoring, vocab
 from uttermill.plans import lifecycles
 from uttermill.plans import standins as S
 from uttermill.session import scratch_path
@@ -263,6 +263,20 @@ def pair_present(spark, sf):
     return pairing.having_partner(S.audio_paths(spark, sf), texts, _CLEAN)
 
 
+@query
+def pair_bucketed(spark, sf):
+    """Recordings and transcripts stored by key in equal buckets, paired twice from there."""
+    audio = pairing.with_pair_key(S.audio_paths(spark, sf), [("/audio/", "/text/"), (".wav", ".txt")])
+    texts = S.text_files(spark, sf, "text", labelled=True).withColumnsRenamed({"path": "pair_key", "text": "transcript"})
+    sides = []
+    for part, df in (("audio", audio), ("texts", texts)):
+        at = scratch_path(spark, part)
+        sides.append(writers.save_bucketed(df, f"{part}_{at[-32:]}", at, "pair_key", 16))
+    found = pairing.pair_bucketed(*sides).select("path", F.md5("transcript").alias("digest"))
+    lacking = pairing.pair_bucketed(*sides, missing="only").select("path", F.lit(None).cast("string").alias("digest"))
+    return found.unionByName(lacking)
+
+
 @query
 def annotation_join(spark, sf):
     events = S.table(spark, sf, "events")
@@ -938,6 +952,48 @@ def sharded_files(spark, sf):
     )
 
 
+@query
+def sharded_bounded(spark, sf):
+    """Shards of fifty positions that merge where a boundary has no transcript, in files of 20 kB of text."""
+    keys = ordering.row_index(S.matched_keys(spark, sf), ["doc_id"])
+    sharded = layout.assign_shards(keys, 50, matched=F.col("matched") == 1).select("doc_id", "row_idx", "shard")
+    texts = S.table(spark, sf, "documents").select("doc_id", "text")
+    rows = sharded.join(texts, "doc_id")
+    manifest = writers.write_bounded(rows, scratch_path(spark, "bounded"), F.octet_length("text"), 20_000)
+    return manifest.select(*[F.col(c).cast("bigint").alias(c) for c in ("shard", "part", "first_row", "last_row", "n_rows", "n_bytes")])
+
+
+@query
+def reuse_fresh(spark, sf):
+    """A table of counts kept while its input stays; one more input file makes a new one."""
+    base = scratch_path(spark, "reuse")
+    docs = S.table(spark, sf, "documents").select("doc_id", "lang")
+    docs.where(F.col("lang") != "en").write.parquet(f"{base}/in")
+
+    def build(marker: str) -> DataFrame:
+        counts = readers.load(spark, f"{base}/in", docs.schema).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+        return writers.materialize_fresh(spark, f"{base}/out", lambda: counts, [f"{base}/in"]).select(F.lit(marker).alias("state"), "lang", "n")
+
+    first, same = build("first"), build("same")
+    docs.where(F.col("lang") == "en").write.mode("append").parquet(f"{base}/in")
+    return first.unionByName(same).unionByName(build("grown"))
+
+
+@query
+def resume_rows(spark, sf):
+    """A run that stopped after two languages; the next one does exactly what is missing."""
+    out = scratch_path(spark, "half")
+    docs = S.table(spark, sf, "documents").select("doc_id", "lang", "text")
+
+    def work(rows: DataFrame, run: int) -> None:
+        rows.select("doc_id", F.length(X.normalize("text")).cast("bigint").alias("n_chars"), F.lit(run).alias("run")).write.mode("append").parquet(out)
+
+    work(docs.where(F.col("lang").isin("en", "de")), 1)
+    done = readers.load(spark, out).select("doc_id")
+    work(resume.remaining(docs, done, ["doc_id"]), 2)
+    return readers.load(spark, out).select("doc_id", "n_chars", F.col("run").cast("bigint").alias("run"))
+
+
 @query
 def report_files(spark, sf):
     base = scratch_path(spark, "report")

@@ -411,6 +411,17 @@ ORACLE: dict[str, str] = {
         WHERE length({_strip('text')}) > 3""",
     "stream_resume": f"SELECT doc_id, length(text) AS n_chars FROM documents WHERE length({_strip('text')}) > 3",
     "stream_snapshot": "SELECT event_id::VARCHAR AS file_id, event_type AS transcript FROM events",
+    "reuse_fresh": """SELECT state, lang, count(*) AS n FROM documents, (VALUES ('first'), ('same'), ('grown')) v(state)
+        WHERE state = 'grown' OR lang <> 'en' GROUP BY state, lang""",
+    "resume_rows": f"""SELECT doc_id, length({_normalize('text')}) AS n_chars, CASE WHEN lang IN ('en', 'de') THEN 1 ELSE 2 END AS run
+        FROM documents""",
+    "pair_bucketed": """SELECT '/data/audio/' || source || '/' || doc_id || '.wav' AS path,
+        CASE WHEN quality IS NOT NULL THEN md5(text) END AS digest FROM documents LEFT JOIN labels USING (doc_id)""",
+    "sharded_bounded": f"""SELECT shard, b // 20000 AS part, min(row_idx) AS first_row, max(row_idx) AS last_row, count(*) AS n_rows,
+        CAST(sum(size) AS BIGINT) AS n_bytes FROM (
+        SELECT shard, row_idx, size, CAST(coalesce(sum(size) OVER (PARTITION BY shard ORDER BY row_idx
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS b
+        FROM (SELECT s.*, strlen(text) AS size FROM ({_shards('', 50)}) s JOIN documents USING (doc_id)) t) u GROUP BY shard, part""",
     "roundtrip_io": f"SELECT file_id, ref AS transcript, ref AS cached FROM ({_SPOKEN}) s",
     "row_index_saved": "SELECT row_number() OVER (ORDER BY source, doc_id DESC) - 1 AS row_idx, doc_id FROM documents",
     "attach_saved": """SELECT row_number() OVER (ORDER BY source, doc_id DESC) - 1 AS row_idx, doc_id, n_chars * 2 AS value

@@ -120,6 +120,15 @@ def load_numbered(spark: SparkSession, path: str | list[str], name: str = "row_i
     return joined.select(*df.columns, (F.col("_start") + F.col("_at")).alias(name))
 
 
+def register_bucketed(spark: SparkSession, name: str, path: str, schema: T.StructType, key: str, buckets: int) -> DataFrame:
+    """Name a bucketed table that an earlier session has written."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
 def scan_predictions(spark: SparkSession, path: str | list[str], skip_first: bool = False) -> DataFrame:
     """Prediction CSV with a header, quoted fields may span lines.
 
