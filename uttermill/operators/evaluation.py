@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from uttermill.functions import metrics as M
 from uttermill.functions import text as X
 from uttermill.functions.arrays import percent
+from uttermill.operators.ordering import running_total
 
 
 def with_once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -175,15 +176,20 @@ def weighted_loss(
 
 
 def concat_text(
-    df: DataFrame, text: str, pos: str, chunk_rows: int = 1000, by: Sequence[str] = ()
+    df: DataFrame, text: str, pos: str, chunk_rows: int = 1000, by: Sequence[str] = (), chunk_bytes: int | None = None
 ) -> DataFrame:
     """All text in ``pos`` order without separators, as ordered chunks.
 
     ``pos`` is a dense position.  One value per corpus would outgrow any task,
-    so a value holds ``chunk_rows`` texts; read in chunk order they are the
+    so a value holds ``chunk_rows`` texts, or with ``chunk_bytes`` the texts that begin
+    in one stretch of so many bytes (a number is skipped where a longer text spans a stretch); read in chunk order they are the
     whole concatenation.
     """
     chunk = F.floor(F.col(pos) / chunk_rows).alias("chunk")
+    if chunk_bytes:
+        sized = df.withColumn("_bytes", F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint"))
+        df = running_total(sized, pos, "_bytes", by, "_before")
+        chunk = F.floor(F.col("_before") / chunk_bytes).alias("chunk")
     return df.groupBy(*by, chunk).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.array_join(

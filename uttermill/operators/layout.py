@@ -187,27 +187,53 @@ def checkpoint_step(name: Column | str, prefix: str = "checkpoint") -> Column:
 
 
 def retain_newest(
-    df: DataFrame, by: str, step: str, keep: int, tiebreak: str
+    df: DataFrame, by: str, step: str, keep: int, tiebreak: str, ties: str = "fail"
 ) -> DataFrame:
     """Mark the ``keep`` newest rows per group; the others are to be deleted.
 
     The ranking alone would sort a hot group in one task.  Rows are ranked inside
-    salted parts of their group first, the best ``keep`` of each part are ranked
+    salted parts of their group first, the best of each part are ranked
     again, and the oldest kept row then decides about all others.  A null group is
     a group.
+
+    Rows with one step and tiebreak are told apart by nothing.  Where such a tie lies
+    across the cut, ``ties="fail"`` fails the job and ``ties="rank"`` keeps as many of them as
+    fit, chosen by a hash of the whole row (which then needs columns that can be grouped).
     """
+    if ties not in ("fail", "rank"):
+        raise ValueError(f"ties is fail or rank, not {ties}")
     order = [F.desc(step), F.desc(tiebreak)]
     salt = F.pmod(F.xxhash64(step, tiebreak), F.lit(SALTS)).alias("_salt")
 
     def best(rows: DataFrame, *keys: str) -> DataFrame:
         ranked = rows.withColumn("_rn", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-        return ranked.where(F.col("_rn") <= keep).drop("_rn")
+        return ranked.where(F.col("_rn") <= keep + 1)
 
-    top = best(best(df.select(by, step, tiebreak, salt), by, "_salt"), by)
-    oldest = top.groupBy(F.col(by).alias("_by")).agg(F.min(F.struct(step, tiebreak)).alias("_cut"))
-    return df.join(oldest, F.col(by).eqNullSafe(F.col("_by"))).select(
-        *df.columns, (F.struct(step, tiebreak) >= F.col("_cut")).cast("int").alias("kept")
+    top = best(best(df.select(by, step, tiebreak, salt), by, "_salt").drop("_rn"), by)
+    place = F.struct(step, tiebreak)
+    cuts = top.groupBy(F.col(by).alias("_by")).agg(
+        F.min(F.when(F.col("_rn") <= keep, place)).alias("_cut"), F.max(F.when(F.col("_rn") == keep + 1, place)).alias("_next"),
     )
+    cuts = cuts.select("_by", "_cut", F.coalesce(F.col("_next") == F.col("_cut"), F.lit(False)).alias("_tied"))
+    told = df.join(cuts, F.col(by).eqNullSafe(F.col("_by")))
+    across = F.col("_tied") & (place == F.col("_cut"))
+    kept = (place >= F.col("_cut")).cast("int")
+    if ties == "fail":
+        failed = F.raise_error(F.concat(F.lit("rows tie at the cut of group "), F.coalesce(F.col(by).cast("string"), F.lit("null"))))
+        return told.select(*df.columns, F.when(across, failed.cast("int")).otherwise(kept).alias("kept"))
+    # How many of the tied rows are among the best of their group.
+    fit = top.where(F.col("_rn") <= keep).join(cuts.where("_tied"), F.col(by).eqNullSafe(F.col("_by")))
+    fit = fit.where(place == F.col("_cut")).groupBy(F.col("_by").alias("_group")).agg(F.count(F.lit(1)).alias("_fit"))
+    tied = told.where(across).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    tied = tied.withColumn("_id", F.struct(F.xxhash64(*df.columns), F.xxhash64(F.lit(1), *df.columns)))
+    copies = tied.select(F.col(by).alias("_by"), "_id", F.explode(F.sequence(F.lit(1), F.least("_copies", F.lit(keep)).cast("int"))).alias("_copy"))
+    drawn = copies.withColumn("_rn", F.row_number().over(W.partitionBy("_by").orderBy("_id", "_copy"))).where(F.col("_rn") <= keep)
+    drawn = drawn.join(fit, F.col("_by").eqNullSafe(F.col("_group"))).where(F.col("_rn") <= F.col("_fit"))
+    drawn = drawn.groupBy("_by", F.col("_id").alias("_same")).agg(F.count(F.lit(1)).alias("_kept"))
+    back = tied.join(drawn, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_id") == F.col("_same")), "left")
+    back = back.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    chosen = (F.col("_copy") <= F.coalesce("_kept", F.lit(0))).cast("int").alias("kept")
+    return told.where(~across).select(*df.columns, kept.alias("kept")).unionByName(back.select(*df.columns, chosen))
 
 
 def latest_per_group(df: DataFrame, by: Sequence[str], path: str, step: str) -> DataFrame:

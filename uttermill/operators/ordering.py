@@ -149,6 +149,22 @@ def skip_batches(df: DataFrame, pos: str, batch_size: int, n: int) -> DataFrame:
     return df.where(F.col(pos) >= n * batch_size)
 
 
-def first_rows(df: DataFrame, order_by: Sequence[str | Column], n: int) -> DataFrame:
-    """The first ``n`` rows of a report in a stated order, by position and not in one task."""
-    return row_index(df, order_by, name="_place").where(F.col("_place") < n).drop("_place")
+def first_rows(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows of a report in ascending order of the named columns, null first.
+
+    Only the sort columns are ordered and pinned, spread over many tasks whatever ``n`` is.  The
+    key at the last place then cuts the rows in a filter.  Where rows with one
+    key reach over the cut, as many of them as fit are taken.
+    """
+    keys = list(order_by)
+    placed = row_index(df.select(*keys), keys, name="_place")
+    # One row reaches the driver.
+    last = placed.where(F.col("_place") == n - 1).select(*keys).first()
+    if last is None:
+        return df if n > 0 else df.limit(0)
+    cut = F.struct(*[F.lit(last[k]).cast(df.schema[k].dataType) for k in keys])
+    place = F.struct(*keys)
+    at = placed.where(place == cut).agg(F.count(F.lit(1)), F.min("_place")).first()
+    if at[1] + at[0] == n:
+        return df.where(place <= cut)
+    return df.where(place < cut).unionByName(df.where(place == cut).limit(n - at[1]))

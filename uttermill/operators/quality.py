@@ -63,8 +63,9 @@ def char_band(
 def readable_media(content: Column | str, magic: Sequence[str] = AUDIO_MAGIC) -> Column:
     """True when the payload starts with one of the (hex) signatures.
 
-    With the audio signatures also: WAVE inside RIFF, an ``ftyp`` box, and any frame
-    that starts with the eleven sync bits of MPEG audio.
+    With the audio signatures also: WAVE inside RIFF, an ``ftyp`` box, and an MPEG audio
+    frame: eleven sync bits, then no reserved version, layer, bit rate or sampling rate.
+    FFFE is taken for the mark of a UTF-16 text (as a frame it would be layer I with a checksum).
     """
     head = A._col(content)
     hits = [F.hex(F.substring(head, 1, len(m) // 2)) == m for m in magic]
@@ -72,7 +73,7 @@ def readable_media(content: Column | str, magic: Sequence[str] = AUDIO_MAGIC) ->
         code = F.hex(F.substring(head, 1, 12))
         hits.append(code.startswith("52494646") & (F.substring(code, 17, 8) == "57415645"))
         hits.append(F.substring(code, 9, 8) == "66747970")
-        hits.append(F.regexp_like(code, F.lit("^FF[EF]")))
+        hits.append(F.regexp_like(code, F.lit("^FF(E[2-7]|F[2-7A-DF])[0-9A-E][0-9A-B]")))
     out = hits[0]
     for hit in hits[1:]:
         out = out | hit

@@ -63,3 +63,21 @@ def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schem
             yield fn(batch)
 
     return df.mapInPandas(run, schema)
+
+
+def collate(
+    df: DataFrame, pos: str, batch_size: int, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, inputs: list[str]
+) -> DataFrame:
+    """Exact batch to batch: a caller's function over each ``batch_size`` rows of dense ``pos``, in order.
+
+    Unlike :func:`map_batches` the batches do not depend on how rows are partitioned.  The function sees
+    ``pos`` and the named inputs; a ``batch`` column with the batch number comes before what it returns.
+    """
+    numbered = df.select(F.floor(F.col(pos) / batch_size).cast("bigint").alias("batch"), pos, *inputs)
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out = fn(rows.sort_values(pos, ignore_index=True)[[pos, *inputs]]).copy()
+        out.insert(0, "batch", int(key[0]))
+        return out
+
+    return numbered.groupBy("batch").applyInPandas(run, f"batch bigint, {schema}")

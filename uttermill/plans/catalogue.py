@@ -162,12 +162,17 @@ def filter_funnel(spark, sf):
     return quality.funnel(S.utterances(spark, sf), stages, ["corpus"])
 
 
+def _cut_up(name: str, width: int):
+    """A whole array as rows of ``width`` numbers, the last one perhaps shorter."""
+    count = F.ceil(F.size(name) / width).cast("int")
+    starts = F.when(F.size(name) > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.slice(name, i * width + 1, F.lit(width)))
+
+
 @query
 def shape_filter(spark, sf):
     emb = S.table(spark, sf, "embeddings")
-    rows = F.transform(
-        F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("embedding", i * 8 + 1, F.lit(8))
-    )
+    rows = _cut_up("embedding", 8)
     shaped = emb.select("vec_id", rows.alias("features"))
     return shaped.where(A.has_shape("features", 8, 8)).select(
         "vec_id", _int(A.has_shape("features", *quality.FEATURE_SHAPE)).alias("model_shape")
@@ -186,7 +191,11 @@ def media_signature(spark, sf):
 
 
 #: Leading bytes (hex) of MPEG audio, WAVE, WEBP, an ``ftyp`` box, MPEG 2.5, no audio, and none.
-_HEADERS = ("FFFA9064", "524946462400000057415645", "524946462400000057454250", "0000001866747970", "FFE31800", "FF101800", "")
+_HEADERS = (
+    "FFFA9064", "524946462400000057415645", "524946462400000057454250", "0000001866747970", "FFE31800", "FF101800", "",
+    # A UTF-16 text, reserved version, layer, bit rate and sampling rate, a plain layer III frame.
+    "FFFE6100", "FFEB9064", "FFF99064", "FFFBF064", "FFFB9C64", "FFFB9064",
+)
 
 
 @query
@@ -452,11 +461,20 @@ def decode_chars(spark, sf):
 @query
 def concat_text(spark, sf):
     docs = S.table(spark, sf, "documents").select("doc_id", "text")
-    numbered = ordering.bucket_index(docs, F.floor(F.col("doc_id") / 10_000), ["doc_id"])
+    numbered = docs.join(ordering.row_index(docs.select("doc_id"), ["doc_id"]), "doc_id")
     chunks = evaluation.concat_text(numbered, "text", "row_idx", 100)
     return chunks.select("chunk", "n_rows", F.md5("text").alias("digest"))
 
 
+@query
+def concat_text_bytes(spark, sf):
+    """As :func:`concat_text`, in stretches of 50 kB per language."""
+    docs = S.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    keys = ordering.row_index(docs.select("lang", "doc_id"), ["doc_id"], ["lang"])
+    chunks = evaluation.concat_text(docs.join(keys, ["lang", "doc_id"]), "text", "row_idx", by=["lang"], chunk_bytes=50_000)
+    return chunks.select("lang", F.col("chunk").cast("bigint").alias("chunk"), "n_rows", F.md5("text").alias("digest"))
+
+
 @query
 def mean_batch_metric(spark, sf):
     events = S.table(spark, sf, "events").select(
@@ -598,6 +616,17 @@ def replicate_augment(spark, sf):
     )
 
 
+@query
+def mask_matrices(spark, sf):
+    """A band of rows and one of columns zeroed in every copy of a matrix of eight columns."""
+    rows = _copies(spark, sf, 2).withColumn("features", _cut_up("embedding", 8)).withColumn("on", F.lit(True))
+    masked = augment.mask_matrix(rows, "features", 0, "on", "time", max_width=6)
+    masked = augment.mask_matrix(masked, "features", 1, "on", "freq", max_width=6)
+    total = F.aggregate(F.flatten("features"), F.lit(0.0), lambda a, x: a + x.cast("double"))
+    zeros = F.size(F.filter(F.flatten("features"), lambda x: x == 0))
+    return masked.select("utt_id", F.col("replica").cast("bigint").alias("replica"), F.round(total, 3).alias("total"), zeros.cast("bigint").alias("zeros"))
+
+
 @query
 def add_noise(spark, sf):
     noisy = augment.add_noise(_copies(spark, sf, corpora.REPLICAS["ctc"]), "embedding")
@@ -700,16 +729,21 @@ def shift_and_mask(spark, sf):
 @query
 def ctc_greedy(spark, sf):
     emb = S.table(spark, sf, "embeddings")
-    # 64 numbers are 16 frames of 4 scores.
-    frames = F.transform(
-        F.sequence(F.lit(0), F.lit(15)), lambda i: F.slice("embedding", i * 4 + 1, F.lit(4))
-    )
+    # Frames of 4 scores.
+    frames = _cut_up("embedding", 4)
     ids = emb.select("vec_id", F.transform(frames, lambda f: A.argmax(f)).alias("best"))
     return ids.select(
         "vec_id", _join(F.col("best")).alias("ids"), _join(A.ctc_collapse("best", 0)).alias("collapsed")
     )
 
 
+@query
+def retain_newest_ties(spark, sf):
+    """Runs whose steps and types recur: two rows a run, chosen among equals."""
+    runs = S.table(spark, sf, "events").select(F.col("user_id").alias("run"), F.hour("ts").cast("bigint").alias("step"), "event_type")
+    return layout.retain_newest(runs, "run", "step", 2, "event_type", ties="rank")
+
+
 @query
 def retain_newest(spark, sf):
     runs = S.table(spark, sf, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("step"))
@@ -938,10 +972,7 @@ def vocab_file(spark, sf):
 @query
 def sharded_files(spark, sf):
     base = scratch_path(spark, "shards")
-    keys = ordering.bucket_index(
-        S.matched_keys(spark, sf).select("doc_id", "matched"),
-        F.floor(F.col("doc_id") / 100_000), ["doc_id"],
-    )
+    keys = ordering.row_index(S.matched_keys(spark, sf).select("doc_id", "matched"), ["doc_id"])
     sharded = layout.assign_shards(keys, 50, matched=F.col("matched") == 1)
     writers.write_sharded(sharded, base)
     read = readers.load(spark, f"{base}/shard=*").withColumn("_path", F.col("_metadata.file_path"))
@@ -1035,6 +1066,19 @@ def batch_scorer(spark, sf):
     )
 
 
+@query
+def collate_batches(spark, sf):
+    """Turns in batches of 64 as a caller's collator sees them: width, padding and the first of each."""
+    turns = S.table(spark, sf, "conversations").select("conv_id", "turn", F.length("text").alias("n"))
+    rows = turns.join(ordering.row_index(turns.select("conv_id", "turn"), ["conv_id", "turn"]), ["conv_id", "turn"])
+
+    def pad(batch: pd.DataFrame) -> pd.DataFrame:
+        width = int(batch["n"].max())
+        return pd.DataFrame({"first_conv": [batch["conv_id"].iloc[0]], "n_rows": [len(batch)], "width": [width], "n_pad": [int((width - batch["n"]).sum())]})
+
+    return scoring.collate(rows, "row_idx", 64, pad, "first_conv bigint, n_rows bigint, width bigint, n_pad bigint", ["conv_id", "n"])
+
+
 @query
 def map_batches(spark, sf):
     def double(batch: pd.DataFrame) -> pd.DataFrame:

@@ -161,6 +161,16 @@ _AUGMENTED = f"""
         time_start, time_stop, freq_start, freq_stop, round(s.total, 3) AS total
     FROM m JOIN s USING (utt_id, replica)"""
 
+_MATRICES = f"""
+    WITH r AS ({_COPIES.format(k=2)}),
+    d AS (SELECT *, {_draw('time', 'width')} * 6 AS tw, {_draw('freq', 'width')} * 6 AS fw FROM r),
+    p AS (SELECT *, floor(greatest({_draw('time', 'start')} * ((len(embedding) + 7) // 8 - tw), 0)) AS ts,
+        floor(greatest({_draw('freq', 'start')} * (least(len(embedding), 8) - fw), 0)) AS fs FROM d),
+    e AS (SELECT utt_id, replica, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS i, ts, tw, fs, fw FROM p),
+    m AS (SELECT utt_id, replica, CASE WHEN (i // 8 >= ts AND i // 8 < ts + floor(tw)) OR (i % 8 >= fs AND i % 8 < fs + floor(fw))
+        THEN 0 ELSE x END AS y FROM e)
+    SELECT utt_id, replica, round(sum(y), 3) AS total, count(*) FILTER (y = 0) AS zeros FROM m GROUP BY utt_id, replica"""
+
 _NOISE = f"""
     WITH r AS ({_COPIES.format(k=3)}),
     d AS (SELECT *, CASE WHEN {_draw('noise')} < 0.3
@@ -217,7 +227,7 @@ ORACLE: dict[str, str] = {
     "shape_filter": "SELECT vec_id, 0 AS model_shape FROM embeddings WHERE len(embedding) = 64",
     "media_signature": """SELECT page_id, CAST(html LIKE '<!%' OR html LIKE '<h%' AS INT) AS is_page,
         0 AS is_audio FROM pages""",
-    "media_headers": "SELECT page_id, CAST(page_id % 7 IN (0, 1, 3, 4) AS INT) AS is_audio FROM pages",
+    "media_headers": "SELECT page_id, CAST(page_id % 13 IN (0, 1, 3, 4, 12) AS INT) AS is_audio FROM pages",
     "admission_split": f"SELECT utt_id, CASE WHEN reason = 'admitted' THEN '' ELSE reason END AS reason FROM ({_ADMITTED}) x",
     "admission_report": f"""SELECT reason, count(*) AS n_rows, round(sum(input_length), 4) AS seconds
         FROM ({_ADMITTED}) x GROUP BY reason""",
@@ -331,6 +341,15 @@ ORACLE: dict[str, str] = {
         value::FLOAT::DOUBLE AS single FROM events""",
     "replicate_augment": _AUGMENTED,
     "add_noise": _NOISE,
+    "mask_matrices": _MATRICES,
+    "retain_newest_ties": """SELECT user_id AS run, hour(ts) AS step, event_type, CAST(row_number() OVER
+        (PARTITION BY user_id ORDER BY hour(ts) DESC, event_type DESC) <= 2 AS INT) AS kept FROM events""",
+    "collate_batches": """SELECT row_idx // 64 AS batch, arg_min(conv_id, row_idx) AS first_conv, count(*) AS n_rows, max(n) AS width,
+        CAST(count(*) * max(n) - sum(n) AS BIGINT) AS n_pad FROM (SELECT conv_id, length(text) AS n,
+        row_number() OVER (ORDER BY conv_id, turn) - 1 AS row_idx FROM conversations) t GROUP BY 1""",
+    "concat_text_bytes": """SELECT lang, b // 50000 AS chunk, count(*) AS n_rows, md5(string_agg(text, '' ORDER BY doc_id)) AS digest FROM (
+        SELECT *, CAST(coalesce(sum(strlen(text)) OVER (PARTITION BY lang ORDER BY doc_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS b FROM documents) x GROUP BY lang, chunk""",
     "frame_stats": """SELECT label, count(*) AS n_frames, round(avg(e), 6) AS mean_energy,
         round(stddev_samp(e), 6) AS std_energy FROM (
             SELECT label, list_sum(list_transform(embedding[k * 8 + 1 : k * 8 + 16],
@@ -390,7 +409,7 @@ ORACLE: dict[str, str] = {
             array_to_string(l[1:len(l) - 1], ' ') AS inputs, array_to_string(k, ' ') AS targets,
             array_to_string(list_transform(k, lambda x: CASE WHEN x = -100 THEN 0 ELSE x END), ' ') AS restored FROM m""",
     "ctc_greedy": """
-        WITH f AS (SELECT vec_id, list_transform(range(0, 16), lambda i: embedding[i * 4 + 1 : i * 4 + 4]) AS fr FROM embeddings),
+        WITH f AS (SELECT vec_id, list_transform(range(0, (len(embedding) + 3) // 4), lambda i: embedding[i * 4 + 1 : i * 4 + 4]) AS fr FROM embeddings),
         a AS (SELECT vec_id, list_transform(fr, lambda s: list_position(s, list_max(s)) - 1) AS ids FROM f),
         c AS (SELECT vec_id, ids, list_filter(ids, lambda x, i: x <> 0 AND (i = 1 OR x <> ids[i - 1])) AS col FROM a)
         SELECT vec_id, array_to_string(ids, ' ') AS ids, array_to_string(col, ' ') AS collapsed FROM c""",
