@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,17 +45,24 @@ def merged(*filters: DataFrame) -> DataFrame:
 def may_know(words: DataFrame, keys: Sequence[str], bits: int = BITS, hashes: int = HASHES) -> Column:
     """Whether the filter may hold the key: false is certain, true is not.
 
-    The words, at most bits / 64 numbers, go into the plan as one literal.
+    The filter, ``bits`` / 8 bytes, is sent to each executor once; only the places of a
+    row's bits go to the vectorised test.
     """
-    table = [0] * (bits // 64)
-    for row in words.collect():
-        table[row["word"]] = row["bits"]
-    whole = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
-    out = F.lit(True)
-    for place in _places(keys, bits, hashes):
-        word = F.get(whole, F.shiftright(place, 6).cast("int"))
-        out = out & (F.call_function("shiftrightunsigned", word, place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1)
-    return out
+    found = words.toPandas()
+    table = np.zeros(bits // 64, np.int64)
+    table[found["word"].to_numpy()] = found["bits"].to_numpy()
+    # Bytes, in which a place is a byte and a bit whatever the machine.
+    sent = words.sparkSession.sparkContext.broadcast(table.astype("<i8").view(np.uint8))
+
+    @F.pandas_udf("boolean")
+    def known(*places: pd.Series) -> pd.Series:
+        out = np.ones(len(places[0]), bool)
+        for place in places:
+            at = place.to_numpy()
+            out &= (sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        return pd.Series(out)
+
+    return known(*_places(keys, bits, hashes))
 
 
 def remaining(

@@ -948,17 +948,18 @@ def csv_skip_first(spark, sf):
 
 @query
 def json_splits(spark, sf):
-    """A JSON object per source with a line for every document, read by ranges of bytes."""
+    """Sixteen JSON objects per source with a line for every document, read by ranges of bytes."""
     base = scratch_path(spark, "objects")
-    docs = S.table(spark, sf, "documents")
+    bucket = F.pmod(F.hash("doc_id"), F.lit(16)).alias("bucket")
+    docs = S.table(spark, sf, "documents").select("*", bucket)
     entry = F.concat(F.lit(", "), F.regexp_replace(F.to_json(F.create_map(F.col("doc_id").cast("string"), F.col("text"))), r"^\{|\}$", ""))
-    lines = docs.select("source", F.lit(1).alias("part"), entry.alias("value"))
-    ends = docs.select("source").distinct().select("source", F.explode(F.array(
+    lines = docs.select("source", "bucket", F.lit(1).alias("part"), entry.alias("value"))
+    ends = docs.select("source", "bucket").distinct().select("source", "bucket", F.explode(F.array(
         F.struct(F.lit(0).alias("part"), F.lit('{"none": [1, {"a": "}"}]').alias("value")), F.struct(F.lit(2).alias("part"), F.lit("}").alias("value")),
-    )).alias("end")).select("source", "end.*")
-    whole = lines.unionByName(ends).repartition("source").sortWithinPartitions("source", "part")
-    whole.select("source", "value").write.partitionBy("source").text(base)
-    read = splitscan.read_json_map(spark, f"{base}/*").where(F.col("key") != "none")
+    )).alias("end")).select("source", "bucket", "end.*")
+    whole = lines.unionByName(ends).repartition("source", "bucket").sortWithinPartitions("source", "bucket", "part")
+    whole.select("source", "bucket", "value").write.partitionBy("source", "bucket").text(base)
+    read = splitscan.read_json_map(spark, f"{base}/*/*").where(F.col("key") != "none")
     return read.select(F.col("key").cast("bigint").alias("doc_id"), F.md5("value").alias("digest"))
 
 
