@@ -948,9 +948,9 @@ def csv_skip_first(spark, sf):
 
 @query
 def json_splits(spark, sf):
-    """Sixteen JSON objects per source with a line for every document, read by ranges of bytes."""
+    """Four JSON objects per source with a line for every document, read by ranges of bytes."""
     base = scratch_path(spark, "objects")
-    bucket = F.pmod(F.hash("doc_id"), F.lit(16)).alias("bucket")
+    bucket = F.pmod(F.hash("doc_id"), F.lit(4)).alias("bucket")
     docs = S.table(spark, sf, "documents").select("*", bucket)
     entry = F.concat(F.lit(", "), F.regexp_replace(F.to_json(F.create_map(F.col("doc_id").cast("string"), F.col("text"))), r"^\{|\}$", ""))
     lines = docs.select("source", "bucket", F.lit(1).alias("part"), entry.alias("value"))
