@@ -8,6 +8,7 @@ a single longer text is a slice of its own.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,10 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_POWERS: dict[int, np.ndarray] = {}
+#: Longer spans are hashed one by one.
+LONG = 128
+#: Keeps the lowest bytes, by their number.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -70,26 +74,33 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    if base not in _POWERS or len(_POWERS[base]) < n:
-        grown = np.full(max(n, 1024), base, np.uint64)
-        grown[0] = 1
-        _POWERS[base] = np.cumprod(grown, dtype=np.uint64)
-    return _POWERS[base][:n]
+def _long(word: np.ndarray, seed: int) -> int:
+    digest = hashlib.blake2b(word.tobytes(), digest_size=8, salt=seed.to_bytes(16, "little"))
+    return int.from_bytes(digest.digest(), "little")
 
 
 def hashes(body: np.ndarray, first: np.ndarray, end: np.ndarray, seed: int = 1) -> np.ndarray:
-    """64-bit hash of each span; another odd ``seed`` gives an independent hash.
+    """64-bit hash of each span; another ``seed`` gives an independent hash.
 
-    Sums of byte codes times powers of an odd base, taken from one running sum
-    over all bytes and brought to the same power by the base's inverse.
+    Eight bytes at a time are mixed into the state of every span that has that many, so no
+    sum or polynomial is left in which different spans could cancel out: for one length, spans of up to eight
+    bytes never collide.  The few spans above :data:`LONG` bytes take BLAKE2.
     """
-    base = (0x9E3779B97F4A7C13 * (2 * seed + 1) & ~7 | 3) & (2**64 - 1)
-    codes = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F + 2 * seed))
-    total = np.zeros(len(body) + 1, np.uint64)
-    np.cumsum(codes[body] * _powers(base, len(body)), out=total[1:])
-    back = _powers(pow(base, -1, 2**64), len(body) + 1)[first]
-    return mix64((total[end] - total[first]) * back + (end - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    size = end - first
+    # Any eight bytes as one number, whatever their alignment.
+    lanes = np.ndarray((len(body) + 1,), "<u8", np.concatenate([body, np.zeros(8, np.uint8)]).data, strides=(1,))
+    mult, start = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xA0761D6478BD642F * (2 * seed + 1) & (2**64 - 1))
+    out = mix64(size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + start)
+    rows, offset = np.flatnonzero(size <= LONG), 0
+    while len(rows):
+        left = np.minimum(size[rows] - offset, 8)
+        lane = lanes[first[rows] + offset] & _MASKS[np.maximum(left, 0)]
+        out[rows] = mix64(out[rows] * mult + mix64(lane ^ start))
+        offset += 8
+        rows = rows[size[rows] > offset]
+    for row in np.flatnonzero(size > LONG).tolist():
+        out[row] = _long(body[first[row] : end[row]], seed)
+    return out
 
 
 def runs(units: np.ndarray, width: int, seed: int = 1) -> np.ndarray:
