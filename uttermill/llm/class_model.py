@@ -14,28 +14,44 @@ from pyspark.sql import functions as F
 from uttermill.llm import words as X
 from uttermill.llm.common import staged
 
-#: Words that get a class of their own choice, groups for all other words, classes.
+#: Words whose classes are exchanged first, groups that stand for all others meanwhile, classes.
 HEADS, SHAPES, CLASSES = 1024, 1024, 64
 UNITS = HEADS + SHAPES
-SWEEPS = 6
+#: Sweeps over the first words, and over all words.
+SWEEPS, WORD_SWEEPS = 6, 1
 #: Added to every count, as in the base score.
 DELTA = 0.1
 #: Weight of the class model against the word model, and of class pairs' backing-off.
 SHARE, BACK = 0.85, 5.0
 #: Bytes of text in one chunk.
 CHUNK = 1 << 20
-#: The end of a text, as a word hash and as a shape.
+#: The end of a text, as a word hash.
 END_HASH = np.uint64(0x5851F42D4C957F2D)
 #: Rows of unit counts that one group adds up.
 BLOCKS = 64
+#: Class counts beside words that are compared with all classes at a time.
+SLICE = 1 << 14
 
 
-def _squeeze(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(a.tobytes() for a in arrays))
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed value, byte by byte plane, as high bytes are mostly zero."""
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
-def _loosen(payload: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(payload)
+def _unpack(payload: bytes, *parts: tuple[str, int]) -> list[np.ndarray]:
+    raw, offset, out = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint8), 0, []
+    for kind, n in parts:
+        size = np.dtype(kind).itemsize
+        block = raw[offset : offset + n * size].reshape(size, n).T
+        out.append(np.ascontiguousarray(block).view(kind).reshape(-1))
+        offset += n * size
+    return out
+
+
+def _steps(words: np.ndarray) -> np.ndarray:
+    """Sorted hashes as differences, which have fewer bytes."""
+    return np.diff(words, prepend=np.uint64(0))
 
 
 def _shapes(body: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -64,8 +80,8 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([part_id + turn]), pa.array([len(words)]),
-                    pa.array([_squeeze(words, counts, shape[example])]),
-                    pa.array([_squeeze(place.astype(np.uint32))]),
+                    pa.array([_pack(_steps(words), counts, shape[example])]),
+                    pa.array([_pack(place.astype(np.uint32))]),
                     pa.array([(n + 1).tolist()], pa.list_(pa.int64())),
                     pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("_key")),
                     pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("held_out")),
@@ -75,62 +91,49 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             turn += 1
 
 
-def _ask(buckets: int):
-    """The distinct words of every chunk, cut by hash range: equal words meet in one bucket."""
+def _vocabulary(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, counts, shapes) of a chunk."""
+    steps, counts, shapes = _unpack(row["vocabulary"], ("<u8", row["n"]), ("<u4", row["n"]), ("<u2", row["n"]))
+    return np.cumsum(steps, dtype=np.uint64), counts, shapes
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
-        for batch in batches:
-            for chunk, n, payload in zip(*[batch.column(c).to_pylist() for c in ("chunk", "n", "vocabulary")], strict=True):
-                raw = _loosen(payload)
-                words, counts, shapes = np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.uint32, n, 8 * n), np.frombuffer(raw, np.uint16, n, 12 * n)
-                cuts = np.concatenate([[0], np.searchsorted(words, edges), [n]])
-                some = np.flatnonzero(np.diff(cuts))
-                rows = [_squeeze(words[cuts[b] : cuts[b + 1]], counts[cuts[b] : cuts[b + 1]], shapes[cuts[b] : cuts[b + 1]]) for b in some]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), chunk)), pa.array(some), pa.array(np.diff(cuts)[some]), pa.array(rows, pa.binary())],
-                    ["chunk", "bucket", "n", "payload"],
-                )
 
-    return run
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training counts of the words that make at least one in 65,536 tokens of a split."""
+    held, pending = [(np.empty(0, np.uint64), np.empty(0, np.int64))], 0
 
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        words, place = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+        return words, np.bincount(place.reshape(-1), weights=np.concatenate([n for _, n in held]), minlength=len(words)).astype(np.int64)
 
-def _answer(table: pa.Table) -> pa.Table:
-    """One bucket: corpus counts of its words, sent back per chunk; its sums under chunk -1."""
-    asked, offset = [], 0
-    for n, payload in zip(table["n"].to_pylist(), table["payload"], strict=True):
-        raw = _loosen(payload.as_py())
-        asked.append((np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.uint32, n, 8 * n), np.frombuffer(raw, np.uint16, n, 12 * n)))
-    words, counts, shapes = (np.concatenate(c) for c in zip(*asked, strict=True))
-    distinct, example, place = np.unique(words, return_index=True, return_inverse=True)
-    total = np.bincount(place.reshape(-1), weights=counts).astype(np.int64)
-    back, shape = total[place.reshape(-1)].astype(np.uint32), shapes[example]
-    rows = []
-    for w, _, _ in asked:
-        rows.append(_squeeze(back[offset : offset + len(w)]))
-        offset += len(w)
-    known = total > 0
-    best = np.argsort(-total, kind="stable")[:HEADS]
-    best = best[total[best] > 0]
-    types = np.bincount(shape[known], minlength=SHAPES)
-    mass = np.bincount(shape[known], weights=total[known], minlength=SHAPES).astype(np.int64)
-    stats = _squeeze(types, mass, distinct[best], total[best], shape[best])
-    bucket = table["bucket"][0].as_py()
-    return pa.table(
-        {
-            "chunk": pa.array([*table["chunk"].to_pylist(), -1], pa.int64()), "bucket": pa.array([bucket] * (len(rows) + 1), pa.int64()),
-            "n": pa.array([*table["n"].to_pylist(), len(best)], pa.int64()), "payload": pa.array([*rows, stats], pa.binary()),
-        }
-    )
+    for batch in batches:
+        for row in batch.to_pylist():
+            words, counts, _ = _vocabulary(row)
+            held.append((words, counts))
+            pending += len(words)
+            if pending > 1 << 21:
+                held, pending = [merged()], 0
+    words, counts = merged()
+    often = (counts > 0) & (counts * 65536 >= counts.sum())
+    yield pa.RecordBatch.from_arrays([pa.array(words[often].view(np.int64)), pa.array(counts[often])], ["word", "n"])
+
+
+def _is_head(words: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    return heads[np.minimum(np.searchsorted(heads, words), len(heads) - 1)] == words
 
 
 def _units(words: np.ndarray, shapes: np.ndarray, heads: np.ndarray) -> np.ndarray:
     """Unit of each word: its own for a head (``heads`` sorted), else the one of its shape."""
-    unit = shapes.astype(np.int64) + HEADS
-    if len(heads):
-        place = np.minimum(np.searchsorted(heads, words), len(heads) - 1)
-        unit = np.where(heads[place] == words, place, unit)
-    return unit
+    return np.where(_is_head(words, heads), np.searchsorted(heads, words), shapes.astype(np.int64) + HEADS)
+
+
+def _neighbours(row: dict, value: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(value before, value, place) of the training tokens of a chunk; ``end`` stands before a text."""
+    place = _unpack(row["tokens"], ("<u4", sum(row["sizes"])))[0]
+    here = value[place]
+    before = np.concatenate([[end], here[:-1]])
+    learn = np.repeat(~np.array(row["held_out"], bool), np.array(row["sizes"], np.int64))
+    # Each text ends with the end token, so the one before a text's first is that one.
+    return before[learn], here[learn], place[learn]
 
 
 def _bigrams(heads: np.ndarray):
@@ -138,16 +141,12 @@ def _bigrams(heads: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = np.zeros(UNITS * UNITS, np.uint32)
-        end = int(_units(np.array([END_HASH]), np.zeros(1, np.uint16), heads)[0])
+        end = int(np.searchsorted(heads, END_HASH))
         for batch in batches:
             for row in batch.to_pylist():
-                raw, n = _loosen(row["vocabulary"]), row["n"]
-                unit = _units(np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.uint16, n, 12 * n), heads)
-                here = unit[np.frombuffer(_loosen(row["tokens"]), np.uint32)]
-                sizes = np.array(row["sizes"])
-                before = np.concatenate([[end], here[:-1]])
-                learn = np.repeat(~np.array(row["held_out"], bool), sizes)
-                pair = np.sort(before[learn] * UNITS + here[learn])
+                words, _, shapes = _vocabulary(row)
+                before, here, _ = _neighbours(row, _units(words, shapes, heads), end)
+                pair = np.sort(before * UNITS + here)
                 at = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.empty(0, np.int64)
                 matrix[pair[at]] += np.diff(np.append(at, len(pair))).astype(np.uint32)
         square = matrix.reshape(UNITS, UNITS)
@@ -156,7 +155,7 @@ def _bigrams(heads: np.ndarray):
             at = np.flatnonzero(flat)
             if len(at):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), pa.array([len(at)]), pa.array([_squeeze(at.astype(np.uint32), flat[at])])], ["block", "n", "payload"]
+                    [pa.array([block]), pa.array([len(at)]), pa.array([_pack(at.astype(np.uint32), flat[at])])], ["block", "n", "payload"]
                 )
 
     return run
@@ -165,9 +164,9 @@ def _bigrams(heads: np.ndarray):
 def _add(table: pa.Table) -> pa.Table:
     total = np.zeros(UNITS // BLOCKS * UNITS, np.int64)
     for n, payload in zip(table["n"].to_pylist(), table["payload"], strict=True):
-        raw = _loosen(payload.as_py())
-        total[np.frombuffer(raw, np.uint32, n)] += np.frombuffer(raw, np.uint32, n, 4 * n)
-    return pa.table({"block": table["block"].slice(0, 1), "payload": pa.array([_squeeze(total)], pa.binary())})
+        at, count = _unpack(payload.as_py(), ("<u4", n), ("<u4", n))
+        total[at] += count
+    return pa.table({"block": table["block"].slice(0, 1), "payload": pa.array([_pack(total)], pa.binary())})
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -223,96 +222,260 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return member
 
 
-def _score(key: str, heads: np.ndarray, model: dict):
-    """Scores of a chunk's texts from its tokens and the answers of all buckets."""
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        answers = right.sort_by("bucket")["payload"].to_pylist()
-        for row in left.to_pylist():
-            raw, n = _loosen(row["vocabulary"]), row["n"]
-            words, shapes = np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.uint16, n, 12 * n)
-            count = np.concatenate([np.frombuffer(_loosen(a), np.uint32) for a in answers]).astype(np.float64)
-            token = np.frombuffer(_loosen(row["tokens"]), np.uint32)
-            sizes = np.array(row["sizes"])
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            kind = model["class_of"][_units(words, shapes, heads)]
-            plain = (count + DELTA) / (model["total"] + DELTA * (model["types"] + 1))
-            emit = (count + DELTA) / (model["class_total"][kind] + DELTA * (model["class_types"][kind] + 1))
-            here = kind[token]
-            before = np.concatenate([[0], here[:-1]])
-            before[ends[:-1][sizes > 0]] = model["end_class"]
-            chance = SHARE * model["step"][before, here] * emit[token] + (1 - SHARE) * plain[token]
-            sums = [np.add.reduceat(x, ends[:-1]) for x in ((count[token] > 0).astype(np.int64), np.log10(plain)[token], np.log10(chance))]
-            out.append((sizes, *sums))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-        keys, held = left["keys"].combine_chunks().values, left["held_out"].combine_chunks().values
-        total = pa.array(np.full(len(keys), model["total"], np.int64))
-        return pa.table([keys, held, *[pa.array(c) for c in columns[:2]], total, *[pa.array(c) for c in columns[2:]]], [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+def best_classes(pairs: np.ndarray, member: np.ndarray, word: np.ndarray, beside: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The class of each word after one exchange against the class bigrams ``pairs``.
+
+    ``member`` holds the words' classes.  ``word`` (sorted places in ``member``), ``beside`` and ``n`` are
+    counts of the classes beside them: class c after the word is c, before it ``CLASSES + c``.
+    Every word is taken out of its class and put where the likelihood of the class bigrams rises most;
+    all words see the same table.
+    """
+    pairs = pairs.astype(np.float64)
+    rows, columns = pairs.sum(1), pairs.sum(0)
+    base = np.concatenate([pairs.T, pairs])
+    flat = _xlogx(base)
+    out = member.astype(np.int64).copy()
+    starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.empty(0, np.int64)
+    ends = np.append(starts[1:], len(word))
+    at = 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + SLICE, side="right")))
+        part, cuts = slice(starts[at], ends[to - 1]), starts[at:to] - starts[at]
+        own = word[starts[at:to]]
+        old = out[own]
+        side, count = beside[part].astype(np.int64), n[part].astype(np.float64)
+        each, entry = np.arange(len(own)), np.arange(len(side))
+        left_at = old[np.repeat(each, np.diff(np.append(cuts, len(side))))]
+        change = _xlogx(base[side] + count[:, None]) - flat[side]
+        was = base[side, left_at]
+        change[entry, left_at] = _xlogx(was) - _xlogx(np.maximum(was - count, 0))
+        gain = np.add.reduceat(change, cuts)
+        for total, these in ((rows, side < CLASSES), (columns, side >= CLASSES)):
+            size = np.add.reduceat(np.where(these, count, 0.0), cuts)
+            move = _xlogx(total + size[:, None]) - _xlogx(total)
+            move[each, old] = _xlogx(total[old]) - _xlogx(np.maximum(total[old] - size, 0))
+            gain -= move
+        best = gain.argmax(1)
+        out[own] = np.where(gain[each, best] > gain[each, old] + 1e-9, best, old)
+        at = to
+    return out
+
+
+def _ask(buckets: int, heads: np.ndarray, class_of: np.ndarray):
+    """The distinct words of every chunk with the classes beside them, cut by hash range.
+
+    Equal words meet in one bucket.  Heads have their class already and send counts only.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
+        end = int(class_of[np.searchsorted(heads, END_HASH)])
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, counts, shapes = _vocabulary(row)
+                kind = class_of[_units(words, shapes, heads)] if row["known"] is None else _unpack(row["known"], ("<u4", row["n"]), ("u1", row["n"]))[1].astype(np.int64)
+                before, here, place = _neighbours(row, kind, end)
+                own = ~_is_head(words, heads)[place]
+                # Only the end token, a head, has nothing after it.
+                after = np.append(here[1:], 0)
+                seen = np.concatenate([place[own].astype(np.int64) * 2 * CLASSES + after[own], place[own].astype(np.int64) * 2 * CLASSES + CLASSES + before[own]])
+                seen, n = np.unique(seen, return_counts=True)
+                of, beside = seen // (2 * CLASSES), (seen % (2 * CLASSES)).astype(np.uint8)
+                per = np.bincount(of, minlength=len(words)).astype(np.uint8)
+                cuts = np.concatenate([[0], np.searchsorted(words, edges), [len(words)]])
+                inner = np.searchsorted(of, cuts)
+                some = np.flatnonzero(np.diff(cuts))
+                rows = []
+                for b in some:
+                    w, e = slice(cuts[b], cuts[b + 1]), slice(inner[b], inner[b + 1])
+                    rows.append(_pack(_steps(words[w]), counts[w], kind[w].astype(np.uint8), per[w], beside[e], n[e].astype(np.uint32)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(some), row["chunk"])), pa.array(some), pa.array(np.diff(cuts)[some]), pa.array(np.diff(inner)[some]), pa.array(rows, pa.binary())],
+                    ["chunk", "bucket", "n", "m", "payload"],
+                )
 
     return run
 
 
-def class_scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _answer(pairs: np.ndarray):
+    """One bucket: corpus counts and classes of its words, sent back per chunk; its sums by class under chunk -1."""
+
+    def run(table: pa.Table) -> pa.Table:
+        asked = []
+        for n, m, payload in zip(table["n"].to_pylist(), table["m"].to_pylist(), table["payload"], strict=True):
+            asked.append(_unpack(payload.as_py(), ("<u8", n), ("<u4", n), ("u1", n), ("u1", n), ("u1", m), ("<u4", m)))
+            asked[-1][0] = np.cumsum(asked[-1][0], dtype=np.uint64)
+        words, counts, kinds, per, beside, n = (np.concatenate(c) for c in zip(*asked, strict=True))
+        distinct, example, place = np.unique(words, return_index=True, return_inverse=True)
+        place = place.reshape(-1)
+        total = np.bincount(place, weights=counts).astype(np.int64)
+        # Equal (word, class beside) of all chunks become one count.
+        entry = np.repeat(place, per) * (2 * CLASSES) + beside
+        entry, back = np.unique(entry, return_inverse=True)
+        n = np.bincount(back.reshape(-1), weights=n, minlength=len(entry))
+        best = best_classes(pairs, kinds[example], entry // (2 * CLASSES), entry % (2 * CLASSES), n)
+        rows, offset = [], 0
+        for w, *_ in asked:
+            at = place[offset : offset + len(w)]
+            rows.append(_pack(total[at].astype(np.uint32), best[at].astype(np.uint8)))
+            offset += len(w)
+        types = np.bincount(best[total > 0], minlength=CLASSES)
+        mass = np.bincount(best, weights=total, minlength=CLASSES).astype(np.int64)
+        bucket = table["bucket"][0].as_py()
+        return pa.table(
+            {
+                "chunk": pa.array([*table["chunk"].to_pylist(), -1], pa.int64()), "bucket": pa.array([bucket] * (len(rows) + 1), pa.int64()),
+                "n": pa.array([*table["n"].to_pylist(), CLASSES], pa.int64()), "payload": pa.array([*rows, _pack(types, mass)], pa.binary()),
+            }
+        )
+
+    return run
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Types and tokens of each class in the buckets of a split."""
+    total = np.zeros((2, CLASSES), np.int64)
+    for batch in batches:
+        for payload in batch.column("payload").to_pylist():
+            total += np.array(_unpack(payload, ("<i8", CLASSES), ("<i8", CLASSES)))
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(total[0]), pa.array(total[1])], ["kind", "types", "mass"])
+
+
+def _join(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A chunk with the corpus counts and classes of its words."""
+    replies = right.sort_by("bucket")
+    parts = [_unpack(p.as_py(), ("<u4", n), ("u1", n)) for n, p in zip(replies["n"].to_pylist(), replies["payload"], strict=True)]
+    known = _pack(*[np.concatenate(c) for c in zip(*parts, strict=True)])
+    return left.append_column("known", pa.array([known] * left.num_rows, pa.binary()))
+
+
+def _class_bigrams(end_class: int):
+    """Counts of neighbouring classes in the training texts of a split."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES * CLASSES, np.int64)
+        for batch in batches:
+            for row in batch.to_pylist():
+                kind = _unpack(row["known"], ("<u4", row["n"]), ("u1", row["n"]))[1].astype(np.int64)
+                before, here, _ = _neighbours(row, kind, end_class)
+                total += np.bincount(before * CLASSES + here, minlength=len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["cell", "n"])
+
+    return run
+
+
+def fit(chunks: DataFrame, buckets: int, word_sweeps: int = WORD_SWEEPS, first: int = HEADS) -> tuple[DataFrame, dict]:
+    """Chunks with the counts and classes of their words, and the model's bounded tables.
+
+    ``first`` words, :data:`HEADS` at most, are exchanged before all others.
+    """
+    often = chunks.select("n", "vocabulary").mapInArrow(_frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = often.orderBy(F.desc("n"), "word").limit(min(first, HEADS) - 1).toArrow()["word"].to_numpy().view(np.uint64)
+    heads = np.unique(np.append(top, END_HASH))
+    sent = chunks.select("n", "vocabulary", "tokens", "sizes", "held_out").mapInArrow(_bigrams(heads), "block long, n long, payload binary")
+    units = np.zeros((UNITS, UNITS), np.int64)
+    for row in sent.groupBy("block").applyInArrow(lambda t: _add(t), "block long, payload binary").toLocalIterator():
+        units[row["block"] :: BLOCKS] = _unpack(row["payload"], ("<i8", UNITS // BLOCKS * UNITS))[0].reshape(-1, UNITS)
+    class_of = exchange(units)
+    one = np.eye(CLASSES)[class_of]
+    pairs = one.T @ units @ one
+    end_class = int(class_of[np.searchsorted(heads, END_HASH)])
+    coded = chunks.withColumn("known", F.lit(None).cast("binary"))
+    for turn in range(word_sweeps):
+        asked = coded.select("chunk", "n", "vocabulary", "tokens", "sizes", "held_out", "known")
+        asked = asked.mapInArrow(_ask(buckets, heads, class_of), "chunk long, bucket long, n long, m long, payload binary")
+        answered = staged(asked.groupBy("bucket").applyInArrow(_answer(pairs), "chunk long, bucket long, n long, payload binary"), "answers")
+        kept = [c for c in chunks.columns if c != "vocabulary" or turn + 1 < word_sweeps]
+        shape = ", ".join(f"{c} {chunks.schema[c].dataType.simpleString()}" for c in kept) + ", known binary"
+        replies = answered.where("chunk >= 0").select("chunk", "bucket", "n", "payload")
+        coded = staged(chunks.select(*kept).groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(lambda a, b: _join(a, b), shape), "coded")
+        # One row per pair of classes.
+        cells = coded.select("n", "tokens", "sizes", "held_out", "known").mapInArrow(_class_bigrams(end_class), "cell long, n long")
+        table = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        pairs = np.zeros(CLASSES * CLASSES)
+        pairs[table["cell"].to_numpy()] = table["n"].to_numpy()
+        pairs = pairs.reshape(CLASSES, CLASSES)
+    sums = answered.where("chunk = -1").select("payload").mapInArrow(_sums, "kind long, types long, mass long")
+    sums = sums.groupBy("kind").agg(F.sum("types").alias("types"), F.sum("mass").alias("mass")).toArrow()
+    class_types, class_total = np.zeros(CLASSES), np.zeros(CLASSES)
+    class_types[sums["kind"].to_numpy()], class_total[sums["kind"].to_numpy()] = sums["types"].to_numpy(), sums["mass"].to_numpy()
+    total, types = int(class_total.sum()), int(class_types.sum())
+    room = class_total + DELTA * (class_types + 1)
+    share = room / (total + DELTA * (types + CLASSES))
+    steps = (pairs + BACK * share) / (pairs.sum(1, keepdims=True) + BACK)
+    unknown = DELTA / room
+    # An unknown word comes from any class, and is followed as the classes it may be of.
+    steps = np.concatenate([steps, (steps @ unknown)[:, None]], 1)
+    steps = np.concatenate([steps, (share * unknown / (share @ unknown))[None] @ steps])
+    return coded, {"total": total, "types": types, "room": room, "steps": steps, "end_class": end_class}
+
+
+def _score(key: str, model: dict):
+    """Scores of the texts of chunks from their tokens and the counts and classes of their words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, row in enumerate(batch.select(["n", "tokens", "sizes", "known"]).to_pylist()):
+                count, kind = _unpack(row["known"], ("<u4", row["n"]), ("u1", row["n"]))
+                count, kind = count.astype(np.float64), np.where(count > 0, kind, CLASSES)
+                sizes = np.array(row["sizes"])
+                token = _unpack(row["tokens"], ("<u4", int(sizes.sum())))[0]
+                starts = np.cumsum(sizes) - sizes
+                plain = (count + DELTA) / (model["total"] + DELTA * (model["types"] + 1))
+                emit = np.where(kind < CLASSES, (count + DELTA) / np.append(model["room"], 1.0)[kind], 1.0)
+                here = kind[token]
+                before = np.concatenate([[0], here[:-1]])
+                before[starts] = model["end_class"]
+                chance = SHARE * model["steps"][before, here] * emit[token] + (1 - SHARE) * plain[token]
+                sums = [np.add.reduceat(x, starts) for x in ((count[token] > 0).astype(np.int64), np.log10(plain)[token], np.log10(chance))]
+                keys, held = batch.column("keys").slice(at, 1).flatten(), batch.column("held_out").slice(at, 1).flatten()
+                total = pa.array(np.full(len(sizes), model["total"], np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [keys, held, pa.array(sizes), pa.array(sums[0]), total, pa.array(sums[1]), pa.array(sums[2])],
+                    [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                )
+
+    return run
+
+
+def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Staged chunks of all texts as numbers."""
+    held = F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(10)) == 0
+    kind = docs.schema[key].dataType.simpleString()
+    own = docs.select(F.col(key).alias("_key"), held.alias("held_out"), F.col(text).alias("_text"))
+    shape = f"chunk long, n long, vocabulary binary, tokens binary, sizes array<long>, keys array<{kind}>, held_out array<boolean>"
+    return staged(own.mapInArrow(_encode, shape), "chunks")
+
+
+def class_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", word_sweeps: int = WORD_SWEEPS, first: int = HEADS) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
     The model learns from rows whose crc32(key as text) mod 10 is not 0.  Words are
     lower-cased (A-Z); every text has one end token more.  The probability of a
     token is 0.85 times that of its class after the class before it times that of the
     word in its class, plus 0.15 times the word model of the base score.  All
-    counts are smoothed, and the words of a class and one unknown word of it have
-    probabilities that add up to one.
+    counts are smoothed.  An unknown word may come from any class; after each class the
+    probabilities of all known words and one unknown word add up to one.
+
+    Exchange clustering starts with the 1,024 most frequent words and 1,024 groups that stand for all
+    others, by their ending, on the counts of all neighbours.  Then every other word is exchanged on
+    its own: the counts of the 64 classes before and after it in all training texts meet in one
+    bucket, the word leaves its class and joins the one that raises the likelihood of the class bigrams most.
+    All words of a sweep see one table, which is counted anew after it (``word_sweeps`` of them, at least one).
+    So classes cover the whole vocabulary at every size.  The first words are found by counts of
+    words that make one in 65,536 tokens of a split; only which words start depends on it.
 
-    The 1,024 most frequent words and 1,024 groups of all other words by their
-    ending are put into 64 classes by exchange clustering on the counts of all
-    neighbours in the training texts; that table has a fixed size and is the only
-    thing the driver holds besides.  Counts of single words are exact whatever the
-    vocabulary: chunks of texts send their distinct words to hash ranges and get the
-    corpus counts back.  A word is known to a chunk once, so frequent words make no hot task.
+    Chunks of texts send their distinct words to hash ranges and get the corpus counts and classes back; a
+    word comes once a chunk, so frequent words make no hot task.  The driver holds the tables of the first units and of
+    the classes, both of a fixed size.
 
     Null texts are empty and consist of the end token.  A null key counts as the text
     ''.  Repeated rows are scored each.  An empty table gives an empty result.
     """
-    held = F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(10)) == 0
+    if word_sweeps < 1:
+        raise ValueError("word_sweeps must be at least 1")
+    chunks = encoded(docs, key, text)
+    coded, model = fit(chunks, max(1, 2 * docs.rdd.getNumPartitions()), word_sweeps, first)
     kind = docs.schema[key].dataType.simpleString()
-    own = docs.select(F.col(key).alias("_key"), held.alias("held_out"), F.col(text).alias("_text"))
-    shape = f"chunk long, n long, vocabulary binary, tokens binary, sizes array<long>, keys array<{kind}>, held_out array<boolean>"
-    chunks = staged(own.mapInArrow(_encode, shape), "chunks")
-    buckets = max(1, 2 * docs.rdd.getNumPartitions())
-    asked = chunks.select("chunk", "n", "vocabulary").mapInArrow(_ask(buckets), "chunk long, bucket long, n long, payload binary")
-    answered = staged(asked.groupBy("bucket").applyInArrow(lambda t: _answer(t), "chunk long, bucket long, n long, payload binary"), "answers")
-    types, mass = np.zeros(SHAPES, np.int64), np.zeros(SHAPES, np.int64)
-    top: list[tuple] = []
-    for row in answered.where("chunk = -1").toLocalIterator():
-        raw, n, at = _loosen(row["payload"]), row["n"], 16 * SHAPES
-        types += np.frombuffer(raw, np.int64, SHAPES)
-        mass += np.frombuffer(raw, np.int64, SHAPES, 8 * SHAPES)
-        columns = np.frombuffer(raw, np.uint64, n, at), np.frombuffer(raw, np.int64, n, at + 8 * n), np.frombuffer(raw, np.uint16, n, at + 16 * n)
-        # The best so far; as many as there are heads at most.
-        top = sorted([*top, *zip(*[c.tolist() for c in columns], strict=True)], key=lambda w: (-w[1], w[0]))[:HEADS]
-    top.sort()
-    heads = np.array([w[0] for w in top], np.uint64)
-    head_count, head_shape = np.array([w[1] for w in top], np.int64), np.array([w[2] for w in top], np.int64)
-    total, n_types = int(mass.sum()), int(types.sum())
-    np.subtract.at(types, head_shape, 1)
-    np.subtract.at(mass, head_shape, head_count)
-    sent = chunks.select("n", "vocabulary", "tokens", "sizes", "held_out").mapInArrow(_bigrams(heads), "block long, n long, payload binary")
-    pairs = np.zeros((UNITS, UNITS), np.int64)
-    for row in sent.groupBy("block").applyInArrow(lambda t: _add(t), "block long, payload binary").toLocalIterator():
-        pairs[row["block"] :: BLOCKS] = np.frombuffer(_loosen(row["payload"]), np.int64).reshape(-1, UNITS)
-    class_of = exchange(pairs)
-    one = np.eye(CLASSES)[class_of]
-    steps = one.T @ pairs @ one
-    pad = np.zeros(HEADS - len(top), np.int64)
-    unit_mass = np.concatenate([head_count, pad, mass])
-    unit_types = np.concatenate([np.ones(len(top), np.int64), pad, types])
-    class_total, class_types = one.T @ unit_mass, one.T @ unit_types
-    share = (class_total + DELTA * (class_types + 1)) / (total + DELTA * (n_types + CLASSES))
-    model = {
-        "class_of": class_of, "total": total, "types": n_types, "class_total": class_total, "class_types": class_types,
-        "end_class": int(class_of[_units(np.array([END_HASH]), np.zeros(1, np.uint16), heads)[0]]),
-        "step": (steps + BACK * share) / (steps.sum(1, keepdims=True) + BACK),
-    }
     result = f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    replies = answered.where("chunk >= 0").select("chunk", "bucket", "payload")
-    return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_score(key, heads, model), result)
+    return coded.select("n", "tokens", "sizes", "keys", "held_out", "known").mapInArrow(_score(key, model), result)
