@@ -48,6 +48,24 @@ def _boundary(cells: DataFrame, source: str, cell: str) -> DataFrame:
     return marked.groupBy(source).agg(least).select(source, F.col(f"_m.{cell}").alias(cell), F.col("_m._before").alias("_before"))
 
 
+def _last_rows(last: DataFrame, ends: DataFrame) -> DataFrame:
+    """(_source, _end_row): the last row taken of a group of equal rows that is taken in part.
+
+    Row numbers ascend by part of the staged table, so counts by part tell in which
+    one the row lies, and only that part's rows are numbered.
+    """
+    partly = ends.where("_take < _n").select(F.col("_source").alias("_s"), F.col("_hash").alias("_h"), "_take")
+    same = last.join(partly, last["_source"].eqNullSafe(partly["_s"]) & (last["_hash"] == partly["_h"]))
+    same = same.select("_source", "_take", "_row", F.shiftright("_row", 33).alias("_part"))
+    parts = same.groupBy("_source", "_part").agg(F.count(F.lit(1)).alias("_c"), F.first("_take").alias("_take"))
+    upto = F.sum("_c").over(W.partitionBy("_source").orderBy("_part"))
+    parts = parts.withColumn("_upto", upto).where("_upto >= _take and _upto - _c < _take")
+    parts = parts.select(F.col("_source").alias("_s"), F.col("_part").alias("_p"), (F.col("_take") - F.col("_upto") + F.col("_c")).alias("_nth"))
+    inside = same.join(parts, same["_source"].eqNullSafe(parts["_s"]) & (same["_part"] == parts["_p"]))
+    inside = inside.withColumn("_i", F.row_number().over(W.partitionBy("_source", "_part").orderBy("_row")))
+    return inside.where("_i = _nth").select("_source", F.col("_row").alias("_end_row"))
+
+
 def mix_sources(
     docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
     weights: Sequence[float] = (1, 2, 3), cap: int = 3, importance: Column | None = None, seed: int = 20,
@@ -59,22 +77,22 @@ def mix_sources(
     document is included with a probability p that grows with ``importance``
     (default 1 + log2(1 + words)) and has the mean r - floor(r) over the source's
     words; documents are ranked by (u / (1 - u)) / (p / (1 - p)), u a hash of the
-    key, and taken in this order until the words left are used up.  The last one
+    key and text, and taken in this order until the words left are used up.  The last one
     is taken if at least half of it fits, so a source misses its target by half a
     document at most.
 
     The cut on the rank scale is found by sums over 1024 cells, then over 1024
     cells of the one cell it falls into; only that last cell's rows, a millionth
-    of a source, are sorted.  No source is ordered in one task.
+    of a source, are sorted, equal ones as one row.  No source is ordered in one task.
 
-    A null text has size 0; null is a source of its own; rows with one key get one
-    rank; an empty table gives an empty result.  Other columns are not read.
+    A null text has size 0; null is a source of its own; rows with one key
+    and text get one rank, and are taken one by one; an empty table gives an empty result.  Other columns are not read.
     """
     size = word_count(F.col("_text"))
     rows = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), F.col(text).alias("_text"))
-    rows = rows.select("_key", "_source", size.alias("size"))
+    rows = rows.select("_key", "_source", size.alias("size"), F.xxhash64(F.lit(seed), "_key", "_text").alias("_hash"), F.monotonically_increasing_id().alias("_row"))
     gain = F.lit(1.0) + F.log2(F.col("size") + 1.0) if importance is None else importance
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_key"), 11)
+    bits = F.shiftrightunsigned("_hash", 11)
     rows = staged(rows.select("*", gain.alias("_gain"), ((bits + 0.5) / F.lit(float(1 << 53))).alias("_u")), "sizes")
     targets = source_targets(rows, "_source", "size", weights, cap)
     gains = rows.groupBy("_source").agg(F.try_divide(F.sum(F.col("_gain") * F.col("size")), F.sum("size")).alias("_mean"))
@@ -105,12 +123,20 @@ def mix_sources(
     fine = fine.join(done, fine["_source"].eqNullSafe(done["_c"])).select("_source", "_fine", (F.col("_before") + F.col("_outer")).alias("_before"))
     fine = staged(fine, "fine")
     last = within(fine, "_fine")
-    so_far = F.sum("size").over(W.partitionBy("_source").orderBy("_z", "_key").rowsBetween(W.unboundedPreceding, -1))
-    fits = F.coalesce(so_far, F.lit(0)) + F.col("size") / 2 <= F.col("_left")
-    ends = last.withColumn("_fits", fits).where("_fits").groupBy("_source").agg(F.max("_z").alias("_end"))
+    # Equal rows are one group here, so a cell that is full of them stays small.
+    groups = last.groupBy("_source", "_z", "_hash", "size").agg(F.count(F.lit(1)).alias("_n"), F.first("_left").alias("_left"))
+    so_far = F.sum(F.col("size") * F.col("_n")).over(W.partitionBy("_source").orderBy("_z", "_hash", "size").rowsBetween(W.unboundedPreceding, -1))
+    room = F.col("_left") - F.coalesce(so_far, F.lit(0))
+    fits = F.when(room < 0, 0).otherwise(F.least("_n", F.floor(F.coalesce(F.try_divide(room, "size"), F.lit(float(1 << 53))) + 0.5)))
+    taken = groups.withColumn("_take", fits.cast("bigint")).where("_take > 0")
+    end = F.max(F.struct("_z", "_hash", "_take", "_n")).alias("_e")
+    ends = staged(taken.groupBy("_source").agg(end).select("_source", "_e._z", "_e._hash", "_e._take", "_e._n"), "ends")
+    ends = with_source(ends, _last_rows(last, ends), "left").withColumnsRenamed({"_z": "_end", "_hash": "_end_hash"})
+    ends = ends.select("_source", "_end", "_end_hash", F.coalesce("_end_row", F.lit(2**63 - 1)).alias("_end_row"))
     cut = fine.select("_source", F.col("_fine").alias("_cut"))
     final = with_source(with_source(ranked, cut, "left"), ends, "left")
-    chosen = (F.col("_fine") < F.col("_cut")) | (F.col("_z") <= F.col("_end"))
+    before_end = F.struct("_z", "_hash", "_row") <= F.struct("_end", "_end_hash", "_end_row")
+    chosen = (F.col("_fine") < F.col("_cut")) | (F.col("_end").isNotNull() & before_end)
     # A source whose sample takes everything has no cut.
     extra = F.when(F.col("_left") <= 0, 0).when(F.col("_cut").isNull(), 1).otherwise(F.coalesce(chosen.cast("int"), F.lit(0)))
     copies = F.col("_whole") + extra
@@ -121,7 +147,10 @@ def mix_sources(
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """``docs`` with every row as often as :func:`mix_sources` takes it, columns unchanged."""
+    """``docs`` with every row as often as :func:`mix_sources` takes it, columns unchanged.
+
+    Rows with one key are repeated as often as the one of them that is taken most.
+    """
     plan = mix_sources(docs, key, text, source, **options).groupBy(key).agg(F.max("copies").alias("_copies"))
     plan = plan.select(F.col(key).alias("_mix_key"), "_copies").where("_copies > 0")
     joined = docs.join(plan, docs[key].eqNullSafe(plan["_mix_key"]))

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 #: Kinds in the order that sorts equal starts.
 KINDS = ("email", "ip", "card", "phone")
@@ -31,6 +32,8 @@ _EDGE = ".,;:!?\"'()[]{}<>"
 
 #: Texts learnt from, rounds of learning, the largest change of settled messages, and what a span needs.
 SAMPLE, STEPS, SETTLED, SURE = 4000, 200, 1e-4, 0.95
+#: Code points learnt from.
+BUDGET = 1 << 25
 FEATURES = 64
 LABELS = 1 + len(KINDS)
 
@@ -278,7 +281,7 @@ def _write(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in sorted(spans, key=lambda s: (s[0], s[2], s[1])))
 
 
-def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
+def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, budget: int = BUDGET) -> DataFrame:
     """(key, n_email, n_ip, n_card, n_phone, base, spans) for every row of ``docs``.
 
     ``base`` lists the matches of the four patterns and the counts are theirs;
@@ -289,15 +292,19 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", samp
     potentials, and so do all repeated or similar ones of a text by way of one hub; pattern matches are
     observed, and loopy message passing until nothing changes gives every other node its label.  A span
     is added at a probability of 0.95 or more.  Potentials are learnt from the pattern matches in
-    at most ``sample`` texts that hold a digit or ``@``, chosen by a hash of the key.
+    at most ``sample`` texts that hold a digit or ``@``, chosen by a hash of the key; equal rows
+    count once, texts above a 64th of ``budget`` code points are not learnt from, and all of them hold ``budget`` at most.
 
     Null and empty texts have no span.  Repeated rows are judged each; null keys stay
     null.  An empty table gives an empty result.
     """
     own = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    some = own.where(F.regexp_like("_text", F.lit("[0-9@]"))).select("_key", F.xxhash64(F.lit(9), "_key").alias("_rank"))
-    chosen = some.orderBy("_rank", "_key").limit(sample)
-    picked = own.join(F.broadcast(chosen.withColumnRenamed("_key", "_k")), F.col("_key") == F.col("_k"))
+    mark = [F.xxhash64(F.lit(9), "_key").alias("_rank"), F.xxhash64(F.lit(9), "_text").alias("_mark")]
+    some = own.where(F.regexp_like("_text", F.lit("[0-9@]"))).select(*mark, F.length("_text").alias("_length"))
+    chosen = some.where(F.col("_length") <= budget // 64).distinct().orderBy("_rank", "_mark").limit(sample)
+    # At most ``sample`` rows.
+    chosen = chosen.withColumn("_sum", F.sum("_length").over(W.orderBy("_rank", "_mark"))).where(F.col("_sum") <= budget)
+    picked = own.select("_text", *mark).join(F.broadcast(chosen.select("_rank", "_mark")), ["_rank", "_mark"]).dropDuplicates(["_rank", "_mark"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted(r for b in batches for r in zip(b.column("_rank").to_pylist(), b.column("_text").to_pylist(), strict=True))

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from uttermill.llm import words as X
 from uttermill.llm.common import keep_ids
@@ -16,6 +17,8 @@ from uttermill.llm.common import keep_ids
 BITS = 20
 #: Labelled rows per class used in training.
 SAMPLE = 8_000
+#: Code points per class used in training.
+BUDGET = 1 << 25
 PASSES = 2
 #: Learning rate, its offset, and the two penalties of FTRL-proximal.
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 12.0, 1.0
@@ -73,19 +76,29 @@ class Ftrl:
         self.n[slots] += g * g
 
 
-def train(docs: DataFrame, marked: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
+def train(docs: DataFrame, marked: DataFrame, sample: int = SAMPLE, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray, float]:
     """(slots, weights, intercept) learnt from at most ``sample`` rows of each class.
 
     ``docs`` has (_key, _text), ``marked`` (_label_key, _label).  The rows are the
     first of each class in the order of a hash of the key, so the choice does not
     depend on partitioning.  Keys are chosen without texts; the chosen ones (at most
-    twice ``sample``) are broadcast to fetch theirs.  The bounded sample is learnt in one
+    twice ``sample``) are broadcast to find their rows.  Equal rows count once, texts above a 64th of ``budget``
+    code points are not learnt from, and of a key's rows no more than ``sample`` and, by class, ``budget`` code points are taken.  The bounded sample is learnt in one
     task and only weights that L1 leaves non-zero reach the driver.
     """
     keyed = marked.select("_label_key", F.col("_label").cast("int").alias("label"), F.xxhash64(F.lit(3), "_label_key").alias("rank"))
     some = [keyed.where(F.col("label") == y).orderBy("rank", "_label_key").limit(sample) for y in (0, 1)]
-    chosen = docs.join(F.broadcast(some[0].union(some[1])), F.col("_key") == F.col("_label_key"))
-    chosen = chosen.select(F.col("_text").alias("text"), "label", "rank")
+    keys = F.broadcast(some[0].union(some[1]))
+    mark = F.xxhash64(F.lit(3), "_text").alias("mark")
+    rows = docs.select("_key", mark, F.length(F.coalesce("_text", F.lit(""))).alias("length")).where(F.col("length") <= budget // 64)
+    rows = rows.join(keys, F.col("_key") == F.col("_label_key")).select("label", "rank", "_key", "mark", "length").distinct()
+    # A key may have many texts: rows are bounded again, then code points.
+    few = [rows.where(F.col("label") == y).orderBy("rank", "_key", "mark").limit(sample) for y in (0, 1)]
+    so_far = F.sum("length").over(W.partitionBy("label").orderBy("rank", "_key", "mark"))
+    few = few[0].union(few[1]).withColumn("so_far", so_far).where(F.col("so_far") <= budget)
+    few = few.select(F.col("_key").alias("_label_key"), F.col("mark").alias("_label_mark"), "label", "rank")
+    chosen = docs.select("_key", "_text", mark).join(F.broadcast(few), (F.col("_key") == F.col("_label_key")) & (F.col("mark") == F.col("_label_mark")))
+    chosen = chosen.dropDuplicates(["_key", "mark"]).select(F.col("_text").alias("text"), "label", "rank")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, labels, ranks = [], [], []
@@ -116,22 +129,23 @@ def train(docs: DataFrame, marked: DataFrame, sample: int = SAMPLE) -> tuple[np.
 
 
 def toxicity(
-    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE,
+    budget: int = BUDGET,
 ) -> DataFrame:
     """(key, held_out, score, predicted) for every row of ``docs``.
 
     Rows with crc32(key as text) mod 3 = 1 are never learnt from.  Inputs of the
     score are the words of the whole text alone.  A null or empty text scores by
     the intercept; null labels and null keys are not learnt from; without any
-    label every score is 0.5.  ``sample`` bounds the rows learnt from per class;
-    scoring covers all rows.
+    label every score is 0.5.  ``sample`` and ``budget`` bound the rows
+    and code points learnt from per class; scoring covers all rows.
     """
     slot = F.pmod(F.crc32(F.coalesce(F.col("_key").cast("string"), F.lit("")).cast("binary")), F.lit(3))
     marked = labels.select(F.col(key).alias("_label_key"), F.col(label).alias("_label")).where("_label is not null and _label_key is not null")
     marked = marked.where(F.pmod(F.crc32(F.col("_label_key").cast("string").cast("binary")), F.lit(3)) != 1)
     marked = marked.groupBy("_label_key").agg(F.max("_label").alias("_label"))
     own = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    slots, weights, bias = train(own, marked, sample)
+    slots, weights, bias = train(own, marked, sample, budget)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = np.zeros(1 << BITS)
