@@ -64,11 +64,14 @@ def test_learning_rows_of_one_key_are_bounded(spark, monkeypatch):
 
 
 def test_labelled_rows_of_one_key_are_bounded(spark, monkeypatch):
-    rows = [(2, f"bad word {i}") for i in range(600)] + [(3, "fine text")] * 50 + [(None, "a"), (4, None), (4, "")]
+    # Keys that are not held out.
+    a, b, c = [k for k in range(100) if zlib.crc32(str(k).encode()) % 3 != 1][:3]
+    rows = [(a, f"bad word {i}") for i in range(600)] + [(b, "fine text")] * 50 + [(None, "a"), (c, None), (c, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    # None of these keys is held out.
-    marks = spark.createDataFrame([(2, 1), (3, 0), (3, 0), (4, 0), (None, 1)], "doc_id long, toxic int")
-    free = [k for k in (2, 3, 4) if zlib.crc32(str(k).encode()) % 3 != 1]
-    most = sum({2: 10, 3: 1, 4: 2}[k] for k in free)
-    assert free and _learnt_rows(monkeypatch, toxicity, lambda: toxicity.toxicity(docs, marks, sample=10)) == most
+    marks = spark.createDataFrame([(a, 1), (b, 0), (b, 0), (c, 0), (None, 1)], "doc_id long, toxic int")
+    # Ten texts of one key, one of another, an empty and a null one.
+    assert _learnt_rows(monkeypatch, toxicity, lambda: toxicity.toxicity(docs, marks, sample=10)) == 13
+    monkeypatch.undo()
+    # 768 code points of texts that have 10 to 12.
+    assert 3 + 64 <= _learnt_rows(monkeypatch, toxicity, lambda: toxicity.toxicity(docs, marks, budget=64 * 12)) <= 3 + 76
     assert isinstance(toxicity.toxicity(docs, marks).toArrow(), pa.Table)

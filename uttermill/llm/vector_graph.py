@@ -14,14 +14,16 @@ from uttermill.llm.components import connected
 
 #: Vectors of a part of a shard; rows and rounds that cluster centres are fitted on; most centres.
 PART, SAMPLE, ROUNDS, MOST = 1200, 8192, 8, 512
-#: Shards a vector belongs to at first, and at most after audits that fall short.
+#: Shards a vector belongs to at first, and the most before it belongs to all.
 OVERLAP, OVERLAP_MOST = 3, 9
 #: Neighbours of a node, nodes expanded at least, and the pruning factor on squared distances.
 DEGREE, EXPAND, ALPHA = 24, 24, 1.44
 #: How far below the threshold the search still expands.
 SLACK = 0.04
-#: Vectors an audit compares with all others, and the recall it asks for.
-AUDIT, RECALL = 64, 0.95
+#: Vectors an audit compares with all others, more while it sees fewer true links than asked for.
+AUDIT, TRUE_LINKS = (64, 512, 2048), 256
+#: The recall below which shards overlap more, and the one below which there is no result.
+RECALL, RECALL_LEAST = 0.95, 0.9
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -189,24 +191,56 @@ def _links(reps: DataFrame, centres: np.ndarray, overlap: int, threshold: float,
     return staged(found.distinct(), "found")
 
 
-def audit(reps: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT) -> float:
-    """Share of the links of ``sample`` vectors, compared with every vector, that ``links`` holds."""
-    chosen = reps.orderBy(F.xxhash64(F.lit(17), "rep")).limit(sample).select("rep", "unit").toArrow()
+def audit(reps: DataFrame, links: DataFrame, threshold: float, samples: tuple[int, ...] = AUDIT, least: int = TRUE_LINKS) -> tuple[int, int]:
+    """(links found, true links) of the first vectors by a hash, compared with every vector.
+
+    Takes as many as the first of ``samples``; the next one while fewer than ``least`` true links are seen
+    and vectors are left.
+    """
+    found = total = 0
+    for sample in samples:
+        chosen = reps.orderBy(F.xxhash64(F.lit(17), "rep"), "rep").limit(sample).select("rep", "unit").toArrow()
+        found, total = _audited(reps, links, threshold, chosen)
+        if total >= least or len(chosen) < sample:
+            break
+    return found, total
+
+
+def _audited(reps: DataFrame, links: DataFrame, threshold: float, chosen: pa.Table) -> tuple[int, int]:
     ids, vectors = np.array(chosen["rep"].to_pylist()), _matrix(chosen["unit"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = np.array(batch.column("rep").to_pylist())
-            i, j = np.nonzero(_matrix(batch.column("unit")) @ vectors.T >= threshold)
-            a, b = own[i], ids[j]
-            apart = a != b
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[apart]), pa.array(np.maximum(a, b)[apart])], ["a", "b"])
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                own = np.array(part.column("rep").to_pylist())
+                i, j = np.nonzero(_matrix(part.column("unit")) @ vectors.T >= threshold)
+                a, b = own[i], ids[j]
+                apart = a != b
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[apart]), pa.array(np.maximum(a, b)[apart])], ["a", "b"])
 
     kind = reps.schema["rep"].dataType.simpleString()
     true = reps.select("rep", "unit").mapInArrow(compare, f"a {kind}, b {kind}").distinct()
     hit = true.join(links.withColumn("_hit", F.lit(1)), ["a", "b"], "left")
     total, found = hit.agg(F.count(F.lit(1)), F.count("_hit")).first()
-    return found / total if total else 1.0
+    return found, total
+
+
+def _audited_links(reps: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """Links between vectors of one length, of the first overlap whose recall is enough."""
+    sample = _matrix(reps.orderBy(F.xxhash64(F.lit(5), "rep")).limit(SAMPLE).select("unit").toArrow()["unit"])
+    centres = _centres(sample, int(min(MOST, len(sample), -(-reps.count() // PART))))
+    overlap = min(OVERLAP, len(centres))
+    while True:
+        links = _links(reps, centres, overlap, threshold, kind)
+        found, total = audit(reps, links, threshold)
+        if found >= RECALL * total:
+            return links
+        if overlap == len(centres):
+            if found >= RECALL_LEAST * total:
+                return links
+            raise RuntimeError(f"the search finds {found} of {total} links")
+        overlap = min(overlap + 3 if overlap < OVERLAP_MOST else len(centres), len(centres))
 
 
 def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95) -> DataFrame:
@@ -222,11 +256,12 @@ def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
     graph; the neighbour lists of a vector are united over its shards.  Every
     vector then searches all parts of its shards from their medoids, expanding the
     range around it.  Only pairs whose cosine was computed and reaches the threshold
-    are links.  An audit compares 64 vectors with all others; while recall is
-    below 0.95, shards overlap more (nine-fold at most).
+    are links.  An audit, at every size and after every overlap, compares 64 vectors with all others, or up to
+    2,048 until 256 true links are seen; while recall is below 0.95, shards overlap more, at last all of them.
+    Should less than 0.9 be found even then, the job fails.
 
     Vectors that are null, empty, zero, or hold null or non-finite components are
-    linked with nothing, as are vectors of another length than most; a null key
+    linked with nothing.  Vectors of each length are compared among themselves, one length after the other. A null key
     is never linked and its component is null.  Rows that repeat a key are counted each.
     An empty table gives an empty result.
     """
@@ -236,24 +271,17 @@ def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
     fine = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.coalesce((F.size("_v") > 0) & fine & F.col("_key").isNotNull(), F.lit(False))
     valid = own.where(good)
-    width = valid.groupBy(F.size("_v").alias("w")).count().orderBy(F.desc("count"), "w").first()
     largest = F.array_max(F.transform("_v", lambda x: F.abs(x)))
-    valid = valid.where((F.size("_v") == (width["w"] if width else 0)) & (largest > 0))
+    valid = valid.where(largest > 0)
     # Scaled first, so that squares neither overflow nor vanish.
     valid = valid.withColumn("_v", F.transform("_v", lambda x: x / largest))
     classes = staged(valid.groupBy("_v").agg(F.min("_key").alias("rep"), F.count(F.lit(1)).alias("size")), "vector-classes")
     unit = F.transform("_v", lambda x: x / F.sqrt(square))
     reps = staged(classes.select("rep", "size", unit.alias("unit")), "units")
-    sample = _matrix(reps.orderBy(F.xxhash64(F.lit(5), "rep")).limit(SAMPLE).select("unit").toArrow()["unit"])
-    if len(sample):
-        centres = _centres(sample, int(min(MOST, len(sample), -(-reps.count() // PART))))
-        overlap = OVERLAP
-        links = _links(reps, centres, overlap, threshold, kind)
-        while overlap < min(OVERLAP_MOST, len(centres)) and audit(reps, links, threshold) < RECALL:
-            overlap += 3
-            links = _links(reps, centres, overlap, threshold, kind)
-    else:
-        links = table.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
+    lengths = reps.groupBy(F.size("unit").alias("length")).count().where("count > 1").orderBy("length").toArrow()["length"].to_pylist()
+    links = table.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
+    for length in lengths:
+        links = links.union(_audited_links(reps.where(F.size("unit") == length), threshold, kind))
     both = links.union(links.select("b", "a")).join(reps.select(F.col("rep").alias("b"), "size"), "b")
     counts = both.groupBy(F.col("a").alias("_r")).agg(F.sum("size").alias("_more"))
     labels = connected(links)
