@@ -8,7 +8,7 @@ import zlib
 import pyarrow as pa
 import pytest
 
-from uttermill.llm import mixing, pii, toxicity
+from uttermill.llm import minhash, mixing, pii, toxicity
 
 
 @pytest.mark.parametrize("keys", ["null", "seven", "own"])
@@ -75,3 +75,16 @@ def test_labelled_rows_of_one_key_are_bounded(spark, monkeypatch):
     # 768 code points of texts that have 10 to 12.
     assert 3 + 64 <= _learnt_rows(monkeypatch, toxicity, lambda: toxicity.toxicity(docs, marks, budget=64 * 12)) <= 3 + 76
     assert isinstance(toxicity.toxicity(docs, marks).toArrow(), pa.Table)
+
+
+def test_one_key_with_several_texts_keeps_its_links(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, c), (1, a), (5, c), (5, None), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_groups(docs).collect())
+    want = [(1, 56, 1, True)] * 3 + [(2, 57, 1, False), (3, 57, 1, False), (4, 56, 4, True), (5, 56, 4, False), (5, 0, 5, True), (None, 56, None, True)]
+    assert got == collections.Counter(want)
+    # The same key in two components: each text has its own.
+    rows = [(8, a), (8, b), (2, a + " more"), (3, b + " more")]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(2, 2, True), (3, 3, True), (8, 2, False), (8, 3, False)]

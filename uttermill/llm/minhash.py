@@ -13,16 +13,20 @@ from pyspark.sql import functions as F
 from uttermill.llm import words as X
 from uttermill.llm.common import keep_ids, staged
 from uttermill.llm.components import connected
+from uttermill.operators.ordering import row_index
 
 #: Words of a shingle and retained values of a sketch.
 WIDTH, K = 5, 64
 #: Similar sets agree in at least 75 of 100; their union sketch of 64 values then
-#: has 48 in common on average and fewer than 32 with a chance of two in a million.
-NEAR, LEAST = 75, 32
+#: has 48 in common on average and fewer than 20 with a chance below 1e-13, about that of
+#: two word hashes meeting by chance.
+NEAR, LEAST = 75, 20
 #: A set up to this size has similar sets only up to K: sketches hold both whole.
 WHOLE = K * NEAR // 100
 #: Rounds in which a list meets one member of its own before all pairs that are left.
 ROUNDS = 2
+#: What tells classes of equal sets apart.
+NAME = ["n", "one", "two"]
 
 
 def _sets(body: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
@@ -44,21 +48,26 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
+def _identity(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Size of each set and two hashes of it as a whole: what names a class of equal sets."""
+    one = [int(s.sum(dtype=np.uint64).view(np.int64)) for s in sets]
+    two = [int(X.mix64(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
+    return [pa.array([len(s) for s in sets], pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64())]
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, body, offsets in X.slices(batch, "_text"):
             sets = list(_sets(body, offsets))
-            names = ["_key", "n", "one", "two", "sketch"]
-            one = [int(s.sum(dtype=np.uint64).view(np.int64)) for s in sets]
-            two = [int(X.mix64(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-            arrays = [part.column("_key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*arrays, _lists([s[:K] for s in sets])], names)
+            arrays = [part.column("_key"), *_identity(sets), _lists([s[:K] for s in sets])]
+            yield pa.RecordBatch.from_arrays(arrays, ["_key", *NAME, "sketch"])
 
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, body, offsets in X.slices(batch, "_text"):
-            yield pa.RecordBatch.from_arrays([part.column("_key"), _lists(list(_sets(body, offsets)))], ["_key", "members"])
+            sets = list(_sets(body, offsets))
+            yield pa.RecordBatch.from_arrays([part.column("_key"), *_identity(sets), _lists(sets)], ["_key", *NAME, "members"])
 
 
 def _entries(reps: DataFrame) -> DataFrame:
@@ -167,22 +176,25 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     that can be similar follow, so no link that could join two components is left out.
 
     Keys are compared as they are; a null key is a row of its own that is not linked,
-    with a null component.  Rows that repeat a key and text are one document.
+    with a null component.  Rows that repeat a key and text are one document; rows of one
+    key with different texts are documents of their own, each with its own component.
     Null and empty texts have no shingle and are linked with nothing.  An empty
     table gives an empty result.
     """
     kind = docs.schema[key].dataType.simpleString()
     own = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    shape = f"_key {kind}, n long, one long, two long, sketch array<long>"
-    sketched = staged(own.mapInArrow(_sketch, shape), "sketches")
+    shape = f"_key {kind}, n long, one long, two long"
+    sketched = staged(own.mapInArrow(_sketch, f"{shape}, sketch array<long>"), "sketches")
     some = sketched.where("n > 0 and _key is not null")
-    classes = staged(some.groupBy("one", "two", "n").agg(F.min("_key").alias("rep")), "classes")
-    reps = staged(some.select("_key", "n", "sketch").join(classes.select("rep"), F.col("_key") == F.col("rep"), "left_semi")
-                  .select(F.col("_key").alias("rep"), "n", "sketch").dropDuplicates(["rep"]), "representatives")
+    # Numbers ascend with the smallest key, so the smallest number of a component has its smallest key.
+    classes = some.groupBy(*NAME).agg(F.min("_key").alias("_key"))
+    classes = staged(row_index(classes, ["_key", *NAME], name="rep"), "classes")
+    chosen = some.join(classes, ["_key", *NAME]).dropDuplicates(["_key", *NAME])
+    reps = staged(chosen.select("rep", "n", "sketch"), "representatives")
     entries = staged(_entries(reps), "lists")
-    listed = entries.select("rep").distinct()
-    sets = keep_ids(own, listed, "_key").mapInArrow(_full, f"_key {kind}, members array<long>")
-    sets = staged(sets.select(F.col("_key").alias("rep"), F.size("members").cast("long").alias("n"), "members").dropDuplicates(["rep"]), "sets")
+    listed = staged(classes.join(entries.select("rep").distinct(), "rep", "left_semi"), "listed")
+    sets = keep_ids(own, listed.select("_key"), "_key").mapInArrow(_full, f"{shape}, members array<long>")
+    sets = staged(sets.join(listed, ["_key", *NAME]).dropDuplicates(["_key", *NAME]).select("rep", "n", "members"), "sets")
     links = labels = None
     for turn in range(ROUNDS + 1):
         if labels is None:
@@ -193,14 +205,18 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         found = staged(_verified(pairs, reps, sets), "links")
         links = found if links is None else links.union(found)
         labels = staged(connected(links), "labels")
-    named = some.select("_key", "one", "two", "n").join(classes, ["one", "two", "n"]).select("_key", "rep")
-    named = named.join(labels, F.col("rep") == F.col("node"), "left").select("_key", F.coalesce("component", "rep").alias("_component"))
-    named = named.groupBy("_key").agg(F.min("_component").alias("_component")).withColumnRenamed("_key", "_k")
-    out = sketched.select("_key", "n").join(named, F.col("_key") == F.col("_k"), "left")
+    ends = classes.select(F.col("rep").alias("component"), F.col("_key").alias("_component"))
+    named = classes.join(labels, F.col("rep") == F.col("node"), "left").select(*NAME, F.coalesce("component", "rep").alias("component"))
+    named = named.join(ends, "component").select(*[F.col(c).alias(f"_{c}") for c in NAME], "_component")
+    same = [F.col(c) == F.col(f"_{c}") for c in NAME]
+    out = sketched.select("_key", *NAME).join(named, [F.col("n") > 0, F.col("_key").isNotNull(), *same], "left")
     component = F.coalesce("_component", "_key")
     return out.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("_key") == component, F.lit(True)).alias("kept"))
 
 
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component of :func:`near_groups`, with all its columns."""
+    """One document of each component of :func:`near_groups`, with all its columns.
+
+    Rows that share a key share its fate: they stay if one of them does.
+    """
     return keep_ids(docs, near_groups(docs, key, text).where("kept").select(key), key)
