@@ -13,8 +13,14 @@ from uttermill.llm.components import connected
 #: (host, path prefix, verdict)
 Rule = tuple[str, str, str]
 
-_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
-_REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\burl\s*=\s*["']?([^"'\s>]+)"""
+#: What holds no markup of the page itself: comments, scripts, styles and the like.
+_HIDDEN = r"(?is)<!--.*?(?:-->|$)|<(script|style|textarea|title|noscript|template)\b.*?(?:</\1\s*>|$)"
+#: A tag with its attributes; quoted values may hold ``>``.
+_TAG = r"""(?is)<(?:link|meta|base)(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+#: Named entities that occur in addresses (fixed values); numeric ones are decoded by code.
+_ENTITIES = {"quot": '"', "apos": "'", "lt": "<", "gt": ">", "amp": "&"}
+#: Ports that addresses leave out (fixed values).
+_PORTS = {"http": "80", "https": "443"}
 
 
 def host_of(url: Column) -> Column:
@@ -42,33 +48,113 @@ def best_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of a tag, null without it; names end at white space, so ``data-href`` is no ``href``."""
+    # Attributes before it are stepped over, whatever their values hold; possessive, so no tag is too long for the stack.
+    before = r"""(?is)^<\w+(?:[\s/]++(?!%s[\s=/>])[^\s=/>"']++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+[\s/]+%s\s*=\s*""" % (name, name)
+    found = F.regexp_extract(tag, before + r"""("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return F.when(found != "", _decoded(F.regexp_replace(found, r"""(?s)^(["'])(.*)\1$""", "$2")))
+
+
+def _decoded(value: Column) -> Column:
+    """Numeric and the five basic named entities of an attribute value; one pass, so ``&amp;lt;`` is ``&lt;``."""
+    parts = F.regexp_extract_all(value, F.lit(r"(?is)(&(?:#x[0-9a-f]{1,6}|#[0-9]{1,7}|quot|apos|lt|gt|amp);|[^&]+|&)"), F.lit(1))
+
+    def one(part: Column) -> Column:
+        name = F.lower(F.regexp_extract(part, r"(?s)^&(.*);$", 1))
+        code = F.when(name.startswith("#x"), F.conv(F.substring(name, 3, 6), 16, 10)).when(name.startswith("#"), F.substring(name, 2, 7)).cast("int")
+        # A code point as four bytes, so that those above 65,535 are right too.
+        letter = F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
+        out = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), letter)
+        for entity, sign in _ENTITIES.items():
+            out = out.when(name == entity, F.lit(sign))
+        return out.otherwise(part)
+
+    plain = ~F.contains(value, F.lit("&"))
+    return F.when(plain, value).otherwise(F.array_join(F.transform(parts, one), ""))
+
+
+def _without_dots(path: Column) -> Column:
+    """``.`` and ``..`` of a path that begins with ``/`` resolved; it never climbs above the root."""
+    steps = F.slice(F.split(path, "/", -1), F.lit(2), F.size(F.split(path, "/", -1)))
+    dots = lambda x: F.regexp_replace(x, r"(?i)%2e", ".")
+    kept = F.aggregate(
+        steps, F.array().cast("array<string>"),
+        lambda done, x: F.when(dots(x) == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(dots(x) == ".", done).otherwise(F.concat(done, F.array(x))),
+    )
+    # A path that ends with a dot step names a folder.
+    folder = dots(F.element_at(steps, -1)).isin(".", "..")
+    out = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(folder & (F.size(kept) > 0), "/").otherwise(""))
+    return F.when(F.regexp_like(path, F.lit(r"(?i)/(?:\.|%2e){1,2}(?:/|$)")), out).otherwise(path)
+
+
 def _node(url: Column) -> Column:
-    """A URL as a node of the graph: without its fragment, host in lower case."""
-    bare = F.regexp_replace(url, r"(?s)#.*$", "")
-    scheme = F.lower(F.regexp_extract(bare, r"(?s)^(.*?://)", 1))
-    rest = F.regexp_extract(bare, r"(?s)^.*?://[^/?#]*(.*)$", 1)
-    rest = F.when(F.startswith(rest, F.lit("/")), rest).otherwise(F.concat(F.lit("/"), rest))
-    return F.when(F.contains(bare, F.lit("://")), F.concat(scheme, host_of(bare), rest))
+    """A URL as a node of the graph: without fragment, user, default port and dot steps, scheme and host in lower case.
+
+    Null for what has no scheme and host.
+    """
+    bare = F.regexp_replace(F.regexp_replace(url, r"[\t\r\n]", ""), r"(?s)^[\x00-\x20]+|#.*$|[\x00-\x20]+$", "")
+    scheme = F.lower(F.regexp_extract(bare, r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
+    host = F.regexp_replace(host_of(bare), r"(?s)^.*@", "")
+    for name, port in _PORTS.items():
+        host = F.when(scheme == name, F.regexp_replace(host, f":(?:{port})?$", "")).otherwise(host)
+    path = path_of(bare)
+    query = F.regexp_extract(bare, r"(?s)^[^?]*(\?.*)$", 1)
+    whole = F.concat(scheme, F.lit("://"), host, _without_dots(F.when(path == "", "/").otherwise(path)), query)
+    return F.when((scheme != "") & (host != ""), whole)
 
 
 def _absolute(base: Column, target: Column) -> Column:
-    origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
+    """``target`` as an address, relative to the page ``base`` as browsers resolve it; null for other schemes."""
+    target = F.regexp_replace(F.regexp_replace(target, r"[\t\r\n]", ""), r"(?s)^[\x00-\x20]+|[\x00-\x20]+$", "")
+    bare = F.regexp_replace(base, r"(?s)#.*$", "")
+    origin = F.regexp_extract(bare, r"(?s)^(.*?://[^/?#]*)", 1)
+    page = F.regexp_extract(bare, r"(?s)^(.*?://[^?]*)", 1)
+    folder = F.regexp_extract(bare, r"(?s)^(.*?://[^/?]*(?:/[^?]*/|/)?)", 1)
     folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
     return (
-        F.when(F.contains(target, F.lit("://")), target)
-        .when(target.startswith("//"), F.concat(F.regexp_extract(base, r"(?s)^(.*?:)//", 1), target))
+        F.when((target == "") | target.startswith("#"), bare)
+        .when(F.regexp_like(target, F.lit(r"(?i)^[a-z][a-z0-9+.-]*://")), target)
+        .when(F.regexp_like(target, F.lit(r"(?i)^[a-z][a-z0-9+.-]*:")), F.lit(None).cast("string"))
+        .when(target.startswith("//"), F.concat(F.regexp_extract(bare, r"(?s)^(.*?:)//", 1), target))
         .when(target.startswith("/"), F.concat(origin, target))
+        .when(target.startswith("?"), F.concat(page, target))
         .otherwise(F.concat(folder, target))
     )
 
 
+def page_targets(url: Column, html: Column) -> Column:
+    """Addresses that the markup of a page names as itself: its first canonical link and its first refresh.
+
+    Comments, scripts and styles are cut first, entities are decoded, and targets are relative to
+    the first ``base`` element, else to the page.
+    """
+    seen = F.regexp_replace(html, _HIDDEN, " ")
+    tags = F.regexp_extract_all(seen, F.lit(_TAG), F.lit(0))
+
+    def of(kind: str) -> Column:
+        return F.filter(tags, lambda t: F.lower(F.substring(t, 2, 4)) == kind)
+
+    def first(values: Column) -> Column:
+        return F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(1))
+
+    own = F.coalesce(_absolute(url, first(F.transform(of("base"), lambda t: _attribute(t, "href")))), url)
+    rel = lambda t: F.split(F.lower(F.coalesce(_attribute(t, "rel"), F.lit(""))), r"\s+")
+    link = first(F.transform(of("link"), lambda t: F.when(F.array_contains(rel(t), "canonical"), _attribute(t, "href"))))
+    hop = first(F.transform(of("meta"), lambda t: F.when(F.lower(_attribute(t, "http-equiv")) == "refresh", _attribute(t, "content"))))
+    # ``0; url='/b'`` and ``0;/b``: what follows the time, up to the closing quotation mark if it began with one.
+    said = F.regexp_extract(hop, r"""(?is)^\s*[0-9.]+\s*[;,\s]\s*(?:url\s*=\s*)?("[^"]*|'[^']*|.*)""", 1)
+    to = F.regexp_replace(said, r"""^["']""", "")
+    return F.array(F.when(link != "", _absolute(own, link)), F.when(to != "", _absolute(own, to)))
+
+
 def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(a, b): a page's URL and the canonical or redirect target its markup names."""
-    hops = [F.regexp_extract(F.coalesce(F.col("_html"), F.lit("")), p, 1) for p in (_CANONICAL, _REFRESH)]
     rows = pages.select(F.col(url).alias("_url"), F.col(html).alias("_html")).where(F.contains("_url", F.lit("://")))
-    named = rows.select("_url", F.explode(F.array(*hops)).alias("_target")).where("_target <> ''")
-    return named.select(_node(F.col("_url")).alias("a"), _node(_absolute(F.col("_url"), F.col("_target"))).alias("b")).where("b is not null")
+    rows = rows.where(F.regexp_like("_html", F.lit(r"(?i)<(?:link|meta)[\s/]")))
+    named = rows.select("_url", F.explode(page_targets(F.col("_url"), F.col("_html"))).alias("_target"))
+    return named.select(_node(F.col("_url")).alias("a"), _node(F.col("_target")).alias("b")).where("a is not null and b is not null")
 
 
 def judge_urls(
@@ -83,6 +169,10 @@ def judge_urls(
     them is explicitly allowed, else block if one is blocked.  All others are allowed.
     ``alias_of`` is the smallest URL of the component, null outside one.
 
+    Markup is read as browsers do: comments and scripts do not count, entities are decoded, targets
+    are resolved against the page or its ``base`` element, and ``mailto:`` and the like are no pages.  Percent
+    codes and host names stay as they are written.
+
     A null URL, or one without ``://``, has an empty host and path, fits no rule
     and joins no component.  Repeated rows are judged each.  An empty table gives
     an empty result.
