@@ -58,3 +58,34 @@ def test_audit_grows_until_links_are_seen(spark, monkeypatch):
     monkeypatch.setattr(V, "_links", lambda *a: links)
     with pytest.raises(RuntimeError):
         V.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+
+
+def test_large_shards_are_split_level_by_level(spark, monkeypatch):
+    for name, value in (("PART", 60), ("MOST", 5), ("ROOM", 2), ("CHUNK", 100)):
+        monkeypatch.setattr(V, name, value)
+    levels, sizes = [], []
+    plain = V.staged
+
+    def spy(df, name):
+        out = plain(df, name)
+        if name == "split-shards":
+            levels.append(out.count())
+        if name == "parts":
+            sizes.append(out.agg({"parts": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(V, "staged", spy)
+    rng = np.random.default_rng(9)
+    dense = rng.normal(size=12)
+    rows = [dense + 0.5 * rng.normal(size=12) for _ in range(400)]
+    for _ in range(400):
+        base = rng.normal(size=12)
+        rows += [base + 0.03 * rng.normal(size=12) for _ in range(rng.integers(1, 6))]
+    rows = [(i, v.tolist()) for i, v in enumerate(rows)]
+    true = _brute(rows)
+    got = {r.vec_id: r for r in V.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)).collect()}
+    # Five centres for 1,500 vectors: shards of about 900 become shards of one or two parts, in two levels or more.
+    assert len(levels) >= 2 and sizes[0] <= 4
+    links = sum(n for n, _ in true.values())
+    assert len(got) == len(rows) and 0.9 * links <= sum(r.n_links for r in got.values()) <= links
+    assert all(got[i].n_links <= n for i, (n, _) in true.items())

@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 
 from uttermill.llm.common import staged
 from uttermill.llm.components import connected
+from uttermill.session import small_side
 
-#: Vectors of a part of a shard; rows and rounds that cluster centres are fitted on; most centres.
+#: Vectors of a part of a shard; rows and rounds that cluster centres are fitted on; most centres of one level.
 PART, SAMPLE, ROUNDS, MOST = 1200, 8192, 8, 512
+#: Parts of a shard that is not split into shards of its own; vectors of one splitting task; levels of
+#: splitting, each of which makes shards up to MOST times smaller.
+ROOM, CHUNK, LEVELS = 16, 4096, 8
 #: Shards a vector belongs to at first, and the most before it belongs to all.
 OVERLAP, OVERLAP_MOST = 3, 9
 #: Neighbours of a node, nodes expanded at least, and the pruning factor on squared distances.
@@ -142,6 +146,54 @@ def _assign(centres: np.ndarray, overlap: int):
     return run
 
 
+def _nearest(overlap: int):
+    """Each vector of a chunk with its nearest leaders; without a leader the vector stays where it is."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        count = min(overlap, max(right.num_rows, 1))
+        take = pa.array(np.repeat(np.arange(left.num_rows), count))
+        if left.num_rows and right.num_rows:
+            own = np.argsort(-(_matrix(left["unit"]) @ _matrix(right["leader_unit"]).T), axis=1, kind="stable")[:, :count]
+            leader = right["leader"].take(pa.array(own.reshape(-1)))
+        else:
+            leader = pa.nulls(len(take), right["leader"].type)
+        return pa.table({"shard": left["shard"].take(take), "leader": leader, "rep": left["rep"].take(take), "unit": left["unit"].take(take)})
+
+    return run
+
+
+def _split(placed: DataFrame, overlap: int, kind: str) -> DataFrame:
+    """``placed`` with every shard above ROOM parts split, level by level.
+
+    A hash picks the leaders of a shard, one per PART members and about MOST at the most, and each member joins
+    the shards of its nearest leaders.  Members come in chunks of about CHUNK, to each of which the leaders are
+    sent, so neither a task nor a broadcast grows with the shard.  Dense regions have as many leaders
+    as their share of the members.
+    """
+    ready = []
+    for level in range(LEVELS):
+        sizes = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("members"))
+        large = staged(sizes.where(F.col("members") > ROOM * PART), "large-shards")
+        if large.isEmpty():
+            break
+        ready.append(placed.join(small_side(large.select("shard")), "shard", "left_anti"))
+        chunks = F.ceil(F.col("members") / CHUNK)
+        big = placed.join(small_side(large), "shard").withColumn("chunk", F.pmod(F.xxhash64(F.lit(31), "rep"), chunks))
+        wanted = F.least(F.lit(MOST), F.ceil(F.col("members") / PART))
+        leaders = big.where(F.pmod(F.xxhash64(F.lit(level), "shard", "rep"), F.col("members")) < wanted)
+        leaders = leaders.select(
+            F.col("shard").alias("shard"), F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)).alias("chunk"), F.col("rep").alias("leader"), F.col("unit").alias("leader_unit"),
+        )
+        keys = ["shard", "chunk"]
+        groups = big.select(*keys, "rep", "unit").groupBy(*keys).cogroup(leaders.groupBy(*keys))
+        moved = groups.applyInArrow(_nearest(overlap), f"shard long, leader {kind}, rep {kind}, unit array<double>")
+        shard = F.when(F.col("leader").isNull(), F.col("shard")).otherwise(F.xxhash64("shard", "leader"))
+        placed = staged(moved.select(shard.alias("shard"), "rep", "unit"), "split-shards")
+    for one in ready:
+        placed = placed.unionByName(one)
+    return placed
+
+
 def _build(table: pa.Table) -> pa.Table:
     edges, medoid = build(_matrix(table["unit"]))
     rep = np.array(table["rep"].to_pylist())
@@ -177,9 +229,10 @@ def _search(threshold: float):
 def _links(reps: DataFrame, centres: np.ndarray, overlap: int, threshold: float, kind: str) -> DataFrame:
     """Pairs of ``reps`` found by graphs on shards that overlap ``overlap``-fold."""
     placed = staged(reps.select("rep", "unit").mapInArrow(_assign(centres, overlap), f"shard long, rep {kind}, unit array<double>"), "shards")
-    # One row per centre, of which there are at most MOST.
-    parts = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
-    cut = placed.join(F.broadcast(parts), "shard").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")))
+    if overlap < len(centres):
+        placed = _split(placed, max(2, overlap - 1), kind)
+    parts = staged(placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts")), "parts")
+    cut = placed.join(small_side(parts), "shard").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")))
     lists = cut.groupBy("shard", "part").applyInArrow(lambda t: _build(t), f"rep {kind}, other {kind}")
     union = staged(lists.groupBy("rep").agg(F.collect_set("other").alias("others")), "neighbours")
     every = F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)
@@ -251,8 +304,8 @@ def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
     stays.
 
     Equal vectors are one class.  Cluster centres come from at most 8,192 classes;
-    every class joins the shards of its three nearest centres, and a shard of any
-    size is cut into parts of about 1,200.  Each part builds a robust-pruned
+    every class joins the shards of its three nearest centres; a shard above 16 parts
+    is split by leaders of its own, as often as it takes, and what remains is cut into parts of about 1,200.  Each part builds a robust-pruned
     graph; the neighbour lists of a vector are united over its shards.  Every
     vector then searches all parts of its shards from their medoids, expanding the
     range around it.  Only pairs whose cosine was computed and reaches the threshold
