@@ -79,14 +79,13 @@ def _entries(reps: DataFrame) -> DataFrame:
     list only for documents that hold little else.  ``core`` is high for what is most
     like its group.
     """
-    size = F.size("sketch")
-    values = reps.select("rep", "n", size.alias("s"), F.explode("sketch").alias("value"))
+    values = reps.select("rep", "n", F.explode("sketch").alias("value"))
     shared = staged(values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
     held = values.join(shared, "value")
     own = W.partitionBy("rep")
     held = held.withColumn("_at", F.row_number().over(own.orderBy("df", "value"))).withColumn("_of", F.count(F.lit(1)).over(own)).withColumn("core", F.sum("df").over(own))
-    needed = F.when(F.col("s") <= WHOLE, F.ceil(F.col("s") * NEAR / 100.0)).otherwise(LEAST)
-    return held.where(F.col("s") - F.col("_of") + F.col("_at") <= F.col("s") - needed + 1).select("value", "rep", "n", "core")
+    needed = F.when(F.col("n") <= WHOLE, F.ceil(F.col("n") * NEAR / 100.0)).otherwise(LEAST)
+    return held.where(F.col("_at") <= F.col("_of") - needed + 1).select("value", "rep", "n", "core")
 
 
 def _sized(a: str, b: str) -> Column:
@@ -144,9 +143,9 @@ def _attach(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     return pairs
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose union sketch allows similarity and whose full sets have it."""
-    both = _attach(pairs, sketches, "sketch")
+    both = _attach(pairs, sets, "sketch")
     union = F.slice(F.array_sort(F.transform(F.array_union("_sketcha", "_sketchb"), lambda x: F.struct(*_order(x)))), 1, K)
     common = F.array_intersect("_sketcha", "_sketchb")
     hit = F.size(F.array_intersect(common, F.transform(union, lambda x: x["v"])))
@@ -194,7 +193,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     entries = staged(_entries(reps), "lists")
     listed = staged(classes.join(entries.select("rep").distinct(), "rep", "left_semi"), "listed")
     sets = keep_ids(own, listed.select("_key"), "_key").mapInArrow(_full, f"{shape}, members array<long>")
-    sets = staged(sets.join(listed, ["_key", *NAME]).dropDuplicates(["_key", *NAME]).select("rep", "n", "members"), "sets")
+    sets = sets.join(listed, ["_key", *NAME]).dropDuplicates(["_key", *NAME])
+    # Members are in order, so the first are the sketch; classes without a list are in no pair.
+    sets = staged(sets.select("rep", "n", F.slice("members", 1, K).alias("sketch"), "members"), "sets")
     links = labels = None
     for turn in range(ROUNDS + 1):
         if labels is None:
@@ -202,7 +203,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         else:
             lists = entries.join(labels, F.col("rep") == F.col("node"), "left").select("value", "rep", "n", "core", F.coalesce("component", "rep").alias("component"))
         pairs = staged(_stars(lists, turn) if turn < ROUNDS else _rest(lists, sets), "pairs")
-        found = staged(_verified(pairs, reps, sets), "links")
+        found = staged(_verified(pairs, sets), "links")
         links = found if links is None else links.union(found)
         labels = staged(connected(links), "labels")
     ends = classes.select(F.col("rep").alias("component"), F.col("_key").alias("_component"))
