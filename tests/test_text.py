@@ -109,3 +109,15 @@ def test_small_helpers(spark):
     swaps = [("audio", "clean"), (".mp3", ".txt")]
     assert column(spark, ["/audio/audio1.mp3"], lambda c: X.rewrite_path(c, swaps)) == ["/clean/clean1.txt"]
     assert column(spark, ["/a/b/c.wav"], X.basename) == ["c.wav"]
+
+
+def test_nfkc_holds_a_slice_of_a_batch(spark, monkeypatch):
+    """Long texts, nulls and plain ones in one batch: cut by bytes, and never all of them strings at once."""
+    monkeypatch.setattr(X, "SLICE_BYTES", 1000)
+    values = [None if i % 7 == 0 else "plain" if i % 3 == 0 else "Ａﾞ㎏x" * (1 + 97 * i % 400) for i in range(300)]
+    want = [v if v is None else unicodedata.normalize("NFKC", v) for v in values]
+    assert column(spark, values, X.nfkc) == want
+    frame = spark.createDataFrame([(v,) for v in values], "s string").coalesce(1)
+    plan = frame.select(X.nfkc("s"))._jdf.queryExecution().executedPlan().toString()
+    # An iterator of Arrow arrays, not a function of whole batches as pandas strings.
+    assert "ArrowEvalPython" in plan and ", 251" in plan

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import unicodedata
+from collections.abc import Iterator
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +37,10 @@ _NFKC_STABLE = (
 )
 
 
+#: UTF-8 bytes of the texts that a Python task holds as strings at a time, one text at least.
+SLICE_BYTES = 1 << 20
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -116,16 +126,23 @@ def nfkc(c: Column | str) -> Column:
 
     Spark has no built-in for it.  Only text holding a character outside the
     stable ranges is sent to Python; for all other rows the batch carries NULL.
+    A batch stays in Arrow, and a slice of :data:`SLICE_BYTES` of it at a time is
+    composed and sent back, so a task's memory does not grow with the batch's strings.
     """
 
-    def compose(text: pd.Series) -> pd.Series:
-        return text.str.normalize("NFKC")
+    def compose(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            place = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+            for a, b in pairwise([0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(texts)]):
+                some = texts.slice(a, b - a).to_pylist()
+                yield pa.array([t if t is None else unicodedata.normalize("NFKC", t) for t in some], pa.string())
 
     col = _col(c)
     # As many bytes as characters means ASCII; no need to search that.
     plain = F.octet_length(col) == F.length(col)
     doubtful = F.when(~plain & F.regexp_like(col, F.lit(f"[^{_NFKC_STABLE}]")), col)
-    return F.coalesce(F.pandas_udf(compose, T.StringType())(doubtful), col)
+    return F.coalesce(F.arrow_udf(compose, T.StringType())(doubtful), col)
 
 
 def normalize_basic(c: Column | str, compose: bool = True) -> Column:
