@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from uttermill.operators import pairing
-from uttermill.sources import readers
+from uttermill.sources import readers, writers
 
 
 @pytest.fixture
@@ -60,3 +60,30 @@ def test_zip_of_saved_tables(spark, saved, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "k long").write.parquet(str(tmp_path / "none"))
     assert readers.load_numbered(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_ordered_write_has_a_task_for_few_files(spark, tmp_path, monkeypatch):
+    """Files by the thousand are not left to the few tasks that their bytes would give."""
+    monkeypatch.setattr(writers, "TASK_FILES", 5)
+    path = str(tmp_path / "ordered")
+    rows = spark.range(600).select((F.col("id") % 3).alias("s"), F.when(F.col("id") % 50 != 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    writers.write_ordered(rows, path, ["s", F.desc("k")], 7, 600, ["v", "k"])
+    tasks = {f.name.split("-")[1] for f in (tmp_path / "ordered").glob("part-*.parquet")}
+    assert len(tasks) > 10
+    got = readers.load_numbered(spark, path).orderBy("row_idx").collect()
+    assert [r.row_idx for r in got] == list(range(600))
+    assert max(r.n for r in readers.load(spark, path).groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n")).collect()) <= 7
+    none = lambda v: -1 if v % 50 == 0 else v
+    assert [(r.v % 3, none(r.v)) for r in got] == sorted(((v % 3, none(v)) for v in range(600)), key=lambda x: (x[0], -x[1]))
+
+
+def test_files_are_counted_once(spark, saved):
+    """The numbers of the files are pinned: no later read aggregates them again."""
+    plan = readers.load_numbered(spark, saved)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
+
+
+def test_empty_ordered_write(spark, tmp_path):
+    path = str(tmp_path / "none")
+    writers.write_ordered(spark.createDataFrame([], "k long"), path, ["k"], 7, 0)
+    assert readers.load_numbered(spark, path).count() == 0

@@ -871,8 +871,8 @@ def roundtrip_io(spark, sf):
 def _saved_in_order(spark, sf, name: str) -> str:
     """Keys of all documents, saved in a stated order in files of few rows."""
     path = scratch_path(spark, name)
-    docs = S.table(spark, sf, "documents").select("doc_id", "source", "n_chars").orderBy("source", F.desc("doc_id"))
-    docs.write.option("maxRecordsPerFile", 70).parquet(path)
+    docs = S.table(spark, sf, "documents").select("doc_id", "source", "n_chars")
+    writers.write_ordered(docs, path, ["source", F.desc("doc_id")], 70, docs.count())
     return path
 
 
@@ -887,8 +887,8 @@ def attach_saved(spark, sf):
     """Predictions by row number: both tables were saved in one order, in files of different sizes."""
     path = _saved_in_order(spark, sf, "rows")
     other = scratch_path(spark, "predictions")
-    values = readers.load_numbered(spark, path).orderBy("row_idx").select((F.col("n_chars") * 2).alias("value"))
-    values.write.option("maxRecordsPerFile", 33).parquet(other)
+    values = readers.load_numbered(spark, path).select("row_idx", (F.col("n_chars") * 2).alias("value"))
+    writers.write_ordered(values, other, ["row_idx"], 33, S.table(spark, sf, "documents").count(), ["value"])
     rows = readers.load_numbered(spark, path).select("row_idx", "doc_id")
     return pairing.zip_numbered(rows, readers.load_numbered(spark, other))
 

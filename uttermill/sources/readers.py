@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uttermill import schema as S
-from uttermill.session import small_side
+from uttermill.session import pin, small_side
 
 
 def _json_map(spark: SparkSession, path: str | list[str], value_type: str) -> DataFrame:
@@ -106,7 +106,8 @@ def load_numbered(spark: SparkSession, path: str | list[str], name: str = "row_i
     A Parquet row knows its place in its file, so one number per file is all that is
     missing: rows are counted by file (no column is read), the counts summed up in
     file order and joined back.  Nothing is sorted, and the only exchange holds one row per
-    file.  Any filter above keeps the numbers, as they are places in the files.
+    file.  These numbers are pinned, so the files are counted once however often the rows are
+    read.  Any filter above keeps the numbers, as they are places in the files.
     """
     df = load(spark, path)
     place, at = F.col("_metadata.file_path"), F.col("_metadata.row_index")
@@ -116,7 +117,7 @@ def load_numbered(spark: SparkSession, path: str | list[str], name: str = "row_i
     before = W.orderBy("_k0", "_k1", "_k2", "_k3").rowsBetween(W.unboundedPreceding, -1)
     starts = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     rows = df.select("*", place.alias("_path"), at.alias("_at"))
-    joined = rows.join(small_side(starts), F.col("_path") == F.col("_file"))
+    joined = rows.join(small_side(pin(starts)), F.col("_path") == F.col("_file"))
     return joined.select(*df.columns, (F.col("_start") + F.col("_at")).alias(name))
 
 

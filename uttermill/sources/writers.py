@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Callable, Sequence
 
@@ -51,6 +52,23 @@ def write_capped(df: DataFrame, path: str, rows_per_file: int) -> None:
     df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
+#: Files that one task of an ordered or bounded write is meant to make.  A small file costs its
+#: creation, not its bytes, by which tasks are cut otherwise.
+TASK_FILES = 250
+
+
+def write_ordered(
+    df: DataFrame, path: str, order_by: Sequence[str | Column], rows_per_file: int, n_rows: int, columns: Sequence[str] = ("*",)
+) -> None:
+    """``columns`` of the rows in a stated order, in files of at most ``rows_per_file`` rows numbered in that order.
+
+    The ``n_rows`` rows are dealt out by ranges of the order to tasks of about :data:`TASK_FILES` files.
+    """
+    tasks = max(1, math.ceil(n_rows / (rows_per_file * TASK_FILES)))
+    placed = df.repartitionByRange(tasks, *order_by).sortWithinPartitions(*order_by)
+    placed.select(*columns).write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
 def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
     """A table of ``buckets`` files by the hash of ``key``, each sorted by it, under ``name`` in the catalog.
 
