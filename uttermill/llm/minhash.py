@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from uttermill.llm import words as X
 from uttermill.llm.common import keep_ids, staged
 from uttermill.llm.components import connected
+from uttermill.operators import resume
 from uttermill.operators.ordering import row_index
 
 #: Words of a shingle and retained values of a sketch.
@@ -192,7 +193,10 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     reps = staged(chosen.select("rep", "n", "sketch"), "representatives")
     entries = staged(_entries(reps), "lists")
     listed = staged(classes.join(entries.select("rep").distinct(), "rep", "left_semi"), "listed")
-    sets = keep_ids(own, listed.select("_key"), "_key").mapInArrow(_full, f"{shape}, members array<long>")
+    # A filter of the listed keys, not a join that would shuffle every text; the join that follows is exact.
+    bits = resume.bits_for(listed.count())
+    wanted = resume.may_know(resume.done_filter(listed, ["_key"], bits), ["_key"], bits)
+    sets = own.where(wanted).mapInArrow(_full, f"{shape}, members array<long>")
     sets = sets.join(listed, ["_key", *NAME]).dropDuplicates(["_key", *NAME])
     # Members are in order, so the first are the sketch; classes without a list are in no pair.
     sets = staged(sets.select("rep", "n", F.slice("members", 1, K).alias("sketch"), "members"), "sets")

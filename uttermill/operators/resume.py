@@ -20,6 +20,11 @@ BITS = 1 << 23
 HASHES = 5
 
 
+def bits_for(n: int) -> int:
+    """Size of a filter with at least 16 bits for each of ``n`` keys, from 8 KB to 8 MB; above that it knows more keys falsely."""
+    return 1 << min(26, max(16, (16 * n).bit_length()))
+
+
 def _places(keys: Sequence[str], bits: int, hashes: int) -> list[Column]:
     # A struct tells a null from the value before it.
     return [F.pmod(F.xxhash64(F.lit(i), F.struct(*keys)), F.lit(bits)) for i in range(hashes)]
