@@ -90,6 +90,24 @@ def test_bounded_shards_of_corpora_and_blocks(spark, tmp_path, monkeypatch):
     assert {(r.corpus, r.part): r.n_rows for r in got} == dict(want)
 
 
+def test_bounded_files_are_dealt_to_many_tasks(spark, tmp_path, monkeypatch):
+    """Files of a few bytes still spread over tasks; a small shard lies with one task, a merged one with several."""
+    monkeypatch.setattr(writers, "RUN_PARTS", 8)
+    shard = F.when(F.col("id") < 800, F.floor(F.col("id") / 20)).otherwise(1000).alias("shard")
+    df = spark.range(1600).select(F.col("id").alias("row_idx"), shard, F.lit(10).alias("size"))
+    at = tmp_path / "out"
+    manifest = writers.write_bounded(df, str(at), F.col("size"), 50).collect()
+    assert {r.n_rows for r in manifest} == {5} and len(manifest) == 320
+    tasks = collections.defaultdict(collections.Counter)
+    for file in at.glob("shard=*/part=*/*.parquet"):
+        tasks[file.parts[-3]][file.name.split("-")[1]] += 1
+    every = sum(tasks.values(), collections.Counter())
+    assert sum(every.values()) == 320
+    assert max(every.values()) <= 160
+    assert len(tasks["shard=1000"]) > 1
+    assert all(len(made) == 1 for name, made in tasks.items() if name != "shard=1000")
+
+
 def test_bucketed_pairing_moves_nothing(spark, tmp_path):
     swaps = [("/audio/", "/text/"), (".wav", ".txt")]
     audio = pairing.with_pair_key(spark.range(300).select(F.concat(F.lit("/audio/"), "id", F.lit(".wav")).alias("path")), swaps)

@@ -23,6 +23,11 @@ def write_sharded(df: DataFrame, path: str, shard: str = "shard", by: Sequence[s
     df.repartition(*by, shard).write.mode("overwrite").partitionBy(*by, shard).parquet(path)
 
 
+#: Parts of a shard that a task of a bounded write makes together, and its least number of tasks a core.
+RUN_PARTS = 64
+CORE_TASKS = 4
+
+
 def write_bounded(
     df: DataFrame, path: str, size: Column, max_bytes: int, pos: str = "row_idx", shard: str = "shard", by: Sequence[str] = ()
 ) -> DataFrame:
@@ -31,20 +36,24 @@ def write_bounded(
     A shard has no bound: where boundary rows have no transcript, shards merge.  The
     running sum of ``size`` along ``pos`` inside a shard gives each row its ``part``, a new one
     every ``max_bytes``; a part is one file, at most its last row above the bound, and a task writes
-    whole parts.  The manifest (by, shard, part, first_row, last_row, n_rows, n_bytes) is counted from
-    what was written, lies in ``path/_manifest`` and comes back.
+    whole parts.  :data:`RUN_PARTS` parts of a shard go to one task, which makes the folder of the shard once,
+    so a merged shard still spreads.  The manifest (by, shard, part, first_row, last_row, n_rows, n_bytes) is
+    counted from what was written, lies in ``path/_manifest`` and comes back.
     """
+    spark = df.sparkSession
     keys = [*by, shard]
     cut = running_total(df.withColumn("_size", size.cast("bigint")), pos, "_size", keys, "_before")
     parts = cut.withColumn("part", F.floor(F.col("_before") / max_bytes).cast("int")).drop("_before")
-    placed = parts.repartition(*keys, "part").sortWithinPartitions(*keys, "part", pos)
+    # A stated number of tasks is not merged by bytes: small files cost their creation.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), CORE_TASKS * spark.sparkContext.defaultParallelism)
+    placed = parts.repartition(tasks, *keys, F.floor(F.col("part") / RUN_PARTS)).sortWithinPartitions(*keys, "part", pos)
     placed.write.mode("overwrite").partitionBy(*keys, "part").parquet(path)
-    manifest = df.sparkSession.read.parquet(path).groupBy(*keys, "part").agg(
+    manifest = spark.read.parquet(path).groupBy(*keys, "part").agg(
         F.min(pos).alias("first_row"), F.max(pos).alias("last_row"), F.count(F.lit(1)).alias("n_rows"), F.sum("_size").alias("n_bytes"),
     )
     # The hidden name keeps it out of the table.
     manifest.write.mode("overwrite").parquet(f"{path}/_manifest")
-    return df.sparkSession.read.parquet(f"{path}/_manifest")
+    return spark.read.parquet(f"{path}/_manifest")
 
 
 def write_capped(df: DataFrame, path: str, rows_per_file: int) -> None:
